@@ -18,21 +18,23 @@ def json_texts(json: Column, names: Iterable[str]) -> Column:
     return F.from_json(json, ", ".join(f"`{name}` STRING" for name in names))
 
 
+_HEX_GROUPS = r"([0-9a-fA-F]{8})-?([0-9a-fA-F]{4})-?([0-9a-fA-F]{4})-?([0-9a-fA-F]{4})-?([0-9a-fA-F]{12})"
+_USUAL_UUID = r"\A\{?" + _HEX_GROUPS + r"\}?\z"
+_BARE_UUID = r"\A" + _HEX_GROUPS.replace("-?", "") + r"\z"
+_HYPHENS = "$1-$2-$3-$4-$5"
+
+
 def canonical_uuid(text: Column) -> Column:
     """Lower-case 8-4-4-4-12 form; NULL when the text is no UUID.
 
-    Accepts braces, a ``urn:uuid:`` prefix, capitals, and any placing of the hyphens.
+    Accepts braces, a ``urn:uuid:`` prefix, capitals, and any placing of the hyphens. The usual
+    forms take two regex passes; only others are stripped first.
     """
-    bare = text
-    for prefix in ("urn:", "uuid:"):
-        bare = F.replace(bare, F.lit(prefix), F.lit(""))
-    bare = F.lower(F.replace(F.btrim(bare, F.lit("{}")), F.lit("-"), F.lit("")))
-    hyphened = F.concat_ws(
-        "-",
-        F.substring(bare, 1, 8), F.substring(bare, 9, 4), F.substring(bare, 13, 4),
-        F.substring(bare, 17, 4), F.substring(bare, 21, 12),
-    )
-    return F.when(bare.rlike(r"\A[0-9a-f]{32}\z"), hyphened)
+    bare = F.replace(F.replace(text, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
+    bare = F.replace(F.btrim(bare, F.lit("{}")), F.lit("-"), F.lit(""))
+    return F.lower(
+        F.when(text.rlike(_USUAL_UUID), F.regexp_replace(text, _USUAL_UUID, _HYPHENS))
+        .when(bare.rlike(_BARE_UUID), F.regexp_replace(bare, _BARE_UUID, _HYPHENS)))
 
 
 def number_text(text: Column) -> Column:

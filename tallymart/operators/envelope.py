@@ -20,8 +20,13 @@ def _member(name: str) -> Column:
     return F.expr(f"try_variant_get(doc, '$[0].{name}', 'variant')")
 
 
-def _type_of(name: str) -> Column:
-    return F.expr(f"schema_of_variant(try_variant_get(doc, '$[0].{name}', 'variant'))")
+def _is_text(name: str) -> Column:
+    return F.expr(f"schema_of_variant(try_variant_get(doc, '$[0].{name}', 'variant')) = 'STRING'")
+
+
+def _is_object(name: str) -> Column:
+    """Looks at the member's type only; ``schema_of_variant`` would walk through all of it."""
+    return F.expr(f"try_variant_get(doc, '$[0].{name}', 'map<string,variant>') IS NOT NULL")
 
 
 def decode_envelope(messages: DataFrame) -> DataFrame:
@@ -60,13 +65,13 @@ def require_fields(decoded: DataFrame, fields=REQUIRED_FIELDS) -> DataFrame:
 
 def type_envelope(decoded: DataFrame, load_src: str = LOAD_SRC) -> DataFrame:
     """Typed envelope: canonical UUID, TIMESTAMP_NTZ, object payload, constant source."""
-    object_id = F.when(_type_of("object_id") == "STRING", canonical_uuid(F.col("object_id")))
-    sent_dttm = F.when(_type_of("sent_dttm") == "STRING", parse_sent_dttm(F.col("sent_dttm")))
+    object_id = F.when(_is_text("object_id"), canonical_uuid(F.col("object_id")))
+    sent_dttm = F.when(_is_text("sent_dttm"), parse_sent_dttm(F.col("sent_dttm")))
     fault = (
         F.when(F.col("typed_id").isNull(), "bad_uuid")
         .when(F.col("typed_dttm").isNull(), "bad_timestamp")
-        .when(~F.startswith(_type_of("payload"), F.lit("OBJECT<")), "bad_payload")
-        .when(_type_of("object_type") != "STRING", "bad_object_type")
+        .when(~_is_object("payload"), "bad_payload")
+        .when(~_is_text("object_type"), "bad_object_type")
     )
     others = [name for name in decoded.columns if name not in ("doc", "reason", *REQUIRED_FIELDS)]
     typed = (

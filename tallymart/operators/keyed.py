@@ -13,8 +13,8 @@ BROADCAST_ROWS = 200_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows. Counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if ``df`` has at most ``max_rows`` rows, by count."""
+    return df.count() <= max_rows
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -44,9 +44,9 @@ def insert_if_absent(
     keys = list(keys)
     first = first_per_key(batch, keys, order)
     stored_keys = stored.select(*keys)
-    batch_keys = batch.select(*keys).distinct()
+    batch_keys = batch.select(*keys)
     if fits_broadcast(batch_keys, broadcast_rows):
-        stored_keys = stored_keys.join(F.broadcast(batch_keys), keys, "left_semi")
+        stored_keys = stored_keys.join(F.broadcast(batch_keys.distinct()), keys, "left_semi")
     return first.join(stored_keys, keys, "left_anti")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.bookmark import next_bookmark
 from ..schemas import BOOKMARKS
-from ..sources.tables import Tables, read_table, replace_scope
+from ..sources.tables import Tables, read_table, replace_partitions
 
 
 def day_to_load(spark: SparkSession, tables: Tables, workflow_key: str,
@@ -28,5 +28,4 @@ def move_past(spark: SparkSession, tables: Tables, workflow_key: str, day: date)
     """Set the bookmark to the day after ``day``. Each workflow is a partition of its own."""
     done = spark.range(1).select(F.lit(workflow_key).alias("workflow_key"),
                                  F.lit(day).alias("day"))
-    replace_scope(next_bookmark(done), tables.bookmarks, BOOKMARKS, ["workflow_key"],
-                  F.col("workflow_key") == workflow_key)
+    replace_partitions(next_bookmark(done), tables.bookmarks, ["workflow_key"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import on_days
@@ -39,23 +39,20 @@ _KINDS = {
 }
 
 
-def _load(outbox: DataFrame, tables: Tables, kind: str, days: list[date], scope, strict) -> int:
+def _load(outbox: DataFrame, tables: Tables, kind: str, days: list[date], n_messages: int, scope,
+          strict: bool) -> int:
     """Replace the staged rows of one kind in scope; returns how many rows broke the contract."""
     extract, contract, staged, schema, table, sort_by = _KINDS[kind]
     messages = outbox.where((F.col("object_type") == kind) & F.col("sent_date").isin(days))
     contracted = row_contract(extract(messages), contract, strict)
-    # Counted while the valid rows are written, so that the usual load without rejects needs no
-    # second pass over the payloads.
-    seen = Observation()
-    counted = contracted.observe(seen, F.count("reason").alias("bad"))
-    replace_scope(staged(valid_rows(counted)), getattr(tables, table), schema,
-                  ["load_date", "event_date"], scope, sort_by)
-    bad = seen.get["bad"]
-    rejects = invalid_rows(contracted) if bad else invalid_rows(contracted).limit(0)
-    replace_scope(rejects.withColumn("object_type", F.lit(kind)), tables.staging_rejects,
-                  STAGING_REJECTS, ["object_type", "load_date"],
-                  scope & (F.col("object_type") == kind))
-    return bad
+    n_staged = replace_scope(staged(valid_rows(contracted)), getattr(tables, table), schema,
+                             ["load_date", "event_date"], scope, sort_by)
+    n_rejects = n_messages - n_staged
+    # The usual load without rejects needs no second pass over the payloads.
+    rejects = invalid_rows(contracted).withColumn("object_type", F.lit(kind)) if n_rejects else None
+    replace_scope(rejects, tables.staging_rejects, STAGING_REJECTS, ["object_type", "load_date"],
+                  scope & (F.col("object_type") == kind), spark=outbox.sparkSession)
+    return n_rejects
 
 
 def import_days(spark: SparkSession, tables: Tables, first: date, last: date,
@@ -66,13 +63,16 @@ def import_days(spark: SparkSession, tables: Tables, first: date, last: date,
     that only their outbox partitions are read. Staging is partitioned by the day of loading: a
     rerun replaces what that load wrote, and rows of the same event day from other loads stay.
     """
-    outbox = read_table(spark, tables.outbox, OUTBOX)
+    outbox = read_table(spark, tables.outbox, OUTBOX)  # one list of files for counts and rows
     in_range = outbox.where(on_days(F.col("sent_date"), first, last))
     days = both_present_gate(day_counts(in_range)).orderBy("sent_date").collect()
     loaded = [row.sent_date for row in days if row.loaded]
     skipped = [row.sent_date for row in days if not row.loaded]
+    n_messages = {TRANSACTION: sum(row.n_transactions for row in days if row.loaded),
+                  CURRENCY: sum(row.n_currencies for row in days if row.loaded)}
     scope = on_days(F.col("load_date"), first, last)
-    rejects = sum(_load(outbox, tables, kind, loaded, scope, strict) for kind in _KINDS)
+    rejects = sum(_load(outbox, tables, kind, loaded, n_messages[kind], scope, strict)
+                  for kind in _KINDS)
     return ImportResult(loaded, skipped, rejects)
 
 

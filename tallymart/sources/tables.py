@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,14 +79,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at ``path``; no rows where nothing has been written yet."""
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``; no rows where nothing has been written yet."""
+    stored = _stored(spark, path, schema)
+    return spark.createDataFrame([], schema) if stored is None else stored
 
 
 def _laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
@@ -109,6 +114,18 @@ def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = (),
      .write.mode("append").partitionBy(*partition_by).parquet(path))
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                       sort_by: Sequence[str] = ()) -> None:
+    """Write ``df``, in place of the partitions it has rows for.
+
+    They are written aside and swapped in when the job ends, so ``df`` may read the table itself, and
+    a failed job changes nothing.
+    """
+    (_laid_out(df, partition_by, sort_by)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
 def clear_partition(spark: SparkSession, path: str, schema: T.StructType, values: dict) -> None:
     """Empty one partition, by overwriting its folder with no rows."""
     folder = "/".join(f"{name}={value}" for name, value in values.items())
@@ -116,29 +133,39 @@ def clear_partition(spark: SparkSession, path: str, schema: T.StructType, values
     spark.createDataFrame([], data).write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
+def _filled_partitions(spark: SparkSession, path: str, schema: T.StructType,
+                       partition_by: Sequence[str], scope: Column) -> dict[tuple, tuple[str, int]]:
+    """Partitions in scope that hold rows: one of the file names, and the row count.
+
+    No data column is read: values come from folder names, counts from file footers.
+    """
+    stored = _stored(spark, path, schema)
+    if stored is None:
+        return {}
+    rows = (stored.where(scope).groupBy(*partition_by)
+            .agg(F.min("_metadata.file_name"), F.count(F.lit(1))).collect())
+    return {tuple(row)[:-2]: tuple(row)[-2:] for row in rows}
+
+
 def replace_scope(
-    df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str], scope: Column,
-    sort_by: Sequence[str] = (),
-) -> None:
-    """Make ``df`` the whole content of the partitions that match ``scope``.
-
-    New partitions are written aside and swapped in when the job ends, so ``df`` may read the table
-    itself and a failed job changes nothing. Dynamic overwrite leaves alone the partitions that
-    get no row; those in scope are emptied afterwards. The list of stored partitions is read from
-    folder names and file footers; both lists are no longer than the number of partitions.
+    df: DataFrame | None, path: str, schema: T.StructType, partition_by: Sequence[str],
+    scope: Column, sort_by: Sequence[str] = (), *, spark: SparkSession | None = None,
+) -> int:
+    """Make ``df`` the whole content of the partitions that match ``scope``; returns their rows.
+
+    ``replace_partitions`` leaves alone what gets no row; such partitions in scope are emptied
+    afterwards. They are told by their file names, which change with every write. The lists are no
+    longer than the number of partitions. Without ``df`` (give ``spark`` then) all are emptied.
     """
-    spark = df.sparkSession
-    partition_by = list(partition_by)
-    before = read_table(spark, path, schema).where(scope).select(*partition_by).distinct().collect()
-    df = df.select(*schema.names)
-    if before:
-        written = Observation()
-        df = df.observe(written, F.collect_set(F.struct(*partition_by)).alias("partitions"))
-    (_laid_out(df, partition_by, sort_by)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-    if before:
-        filled = {tuple(row) for row in written.get["partitions"]}
-        for row in before:
-            if tuple(row) not in filled:
-                clear_partition(spark, path, schema, row.asDict())
+    spark = spark or df.sparkSession
+    where = (spark, path, schema, list(partition_by), scope)
+    before = _filled_partitions(*where)
+    if df is None:
+        after = before
+    else:
+        replace_partitions(df.select(*schema.names), path, partition_by, sort_by)
+        after = _filled_partitions(*where)
+    stale = [values for values, found in before.items() if after.get(values) == found]
+    for values in stale:
+        clear_partition(spark, path, schema, dict(zip(partition_by, values)))
+    return sum(rows for values, (_, rows) in after.items() if values not in stale)
