@@ -48,10 +48,13 @@ def merge_into_mart(source: DataFrame, path: str, first: date, last: date,
 
 def merge_into_catalog_table(source: DataFrame, table: str) -> None:
     """The same merge as one atomic statement, for catalogs whose tables support MERGE."""
-    on = [F.col(f"t.{key}") == F.col(f"s.{key}") for key in METRICS_KEY]
-    same = [F.col(f"t.{name}").eqNullSafe(F.col(f"s.{name}")) for name in METRICS_VALUES]
-    differs = ~(same[0] & same[1] & same[2] & same[3])
-    (source.alias("s").mergeInto(f"{table} AS t", on[0] & on[1])
+    target = table.rsplit(".", 1)[-1]
+    matches, differs = F.lit(True), F.lit(False)
+    for key in METRICS_KEY:
+        matches = matches & (F.col(f"{target}.{key}") == F.col(f"source.{key}"))
+    for name in METRICS_VALUES:
+        differs = differs | ~F.col(f"{target}.{name}").eqNullSafe(F.col(f"source.{name}"))
+    (source.alias("source").mergeInto(table, matches)
      .whenMatched(differs).updateAll().whenNotMatched().insertAll().merge())
 
 
