@@ -49,7 +49,8 @@ def main() -> None:
     inbox = f"{tables.root}/inbox"
     fx.fx_all_messages(spark, SF_DIR).repartition(int(CPUS)).write.parquet(inbox)
     messages = spark.read.parquet(inbox)
-    append_rows(fx.fx_outbox(spark, SF_DIR), tables.outbox, ["sent_date"], ["sent_dttm"])
+    append_rows(fx.fx_outbox(spark, SF_DIR), tables.outbox, ["sent_date"],
+                ["object_type", "sent_dttm"])
     append_rows(fx.tx_staging(spark, SF_DIR), tables.transactions, ["load_date", "event_date"],
                 ["transaction_dt"])
     append_rows(fx.rates_staging(spark, SF_DIR), tables.currencies, ["load_date", "event_date"])

@@ -17,8 +17,12 @@ def parse_sent_dttm(text: Column) -> Column:
 
 
 def cut_to_second(ts: Column) -> Column:
-    """Drop the fraction of a second. ``date_trunc`` returns a zoned type, hence the cast back."""
-    return F.date_trunc("second", ts).cast("timestamp_ntz")
+    """Drop the fraction of a second.
+
+    ``date_trunc`` would go through the session time zone and back, see above.
+    """
+    second = F.extract(F.lit("SECOND"), ts)
+    return ts - F.make_dt_interval(secs=second - F.floor(second))
 
 
 def on_days(day: Column, first, last) -> Column:

@@ -182,7 +182,8 @@ def bookmark_upsert(spark, sf):
 
 def _imported(spark, sf) -> Tables:
     tables = Tables(scratch_path(spark, "import"))
-    append_rows(fx.fx_outbox(spark, sf), tables.outbox, ["sent_date"], ["sent_dttm"])
+    append_rows(fx.fx_outbox(spark, sf), tables.outbox, ["sent_date"],
+                ["object_type", "sent_dttm"])
     import_day.import_days(spark, tables, FIRST, LAST)
     return tables
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.envelope import accepted, read_envelope, rejected
@@ -17,12 +18,18 @@ def store_batch(batch: DataFrame, tables: Tables) -> None:
 
     Both writes skip what is stored already, by object id and by (partition, offset), so a batch that
     is run again after a failure, or a topic read again from its start, changes nothing.
+
+    Files are sorted by type, so that an import of rates skips the row groups of transactions.
     """
     spark = batch.sparkSession
-    typed = read_envelope(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    # Kept for the two writes; the raw text only where it is stored. A lost block is computed again.
+    typed = (read_envelope(batch)
+             .withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         new = insert_if_absent(accepted(typed), read_table(spark, tables.outbox, OUTBOX))
-        append_rows(new.select(*OUTBOX.names), tables.outbox, ["sent_date"], ["sent_dttm"])
+        append_rows(new.select(*OUTBOX.names), tables.outbox, ["sent_date"],
+                    ["object_type", "sent_dttm"])
         position = ("partition", "offset")
         bad = insert_if_absent(
             rejected(typed), read_table(spark, tables.message_rejects, MESSAGE_REJECTS),

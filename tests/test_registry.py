@@ -1,5 +1,6 @@
 """Every registered query against its SQL."""
 
+import os
 from collections import Counter
 from pathlib import Path
 
@@ -8,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 

@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tallymart.functions.time import cut_to_second
 from tallymart.operators.staging import (
     both_present_gate, day_counts, extract_currencies, extract_transactions, invalid_rows,
     oldest_outbox_day, row_contract, staged_transactions, valid_rows,
@@ -99,6 +100,21 @@ def test_time_is_cut_not_rounded(spark):
     assert row.transaction_dt == datetime(2022, 10, 1, 23, 59, 59) and row.event_date == D1
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_cut_does_not_depend_on_the_session_zone(spark, zone):
+    """02:30 does not exist on this day in Berlin."""
+    df = spark.createDataFrame([(datetime(2022, 3, 27, 2, 30, 1, 999999),), (None,),
+                                (datetime(1969, 12, 31, 23, 59, 59, 1),)], "ts timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = [row[0] for row in df.select(cut_to_second(F.col("ts")).alias("ts")).collect()]
+        kind = df.select(cut_to_second(F.col("ts")).alias("ts")).dtypes
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [datetime(2022, 3, 27, 2, 30, 1), None, datetime(1969, 12, 31, 23, 59, 59)]
+    assert kind == [("ts", "timestamp_ntz")]
+
+
 def test_oldest_day(spark):
     rows = outbox(spark, [(TRANSACTION, D2, TX), (CURRENCY, D1, RATE)])
     assert oldest_outbox_day(rows).first()[0] == D1
