@@ -33,19 +33,23 @@ def insert_if_absent(
     keys: Sequence[str] = ("object_id",),
     order: Sequence[Column | str] = ("partition", "offset"),
     broadcast_rows: int = BROADCAST_ROWS,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` to append to ``stored``: the first per key, if the key is not stored yet.
 
     ``stored`` is far larger than a batch and only its key columns are read. For a small batch its
     keys are broadcast to the stored side, which is then scanned without a shuffle. For a large
     one (a first load) both sides are shuffled on the key; the ranking has already shuffled the
-    batch that way, and both sides then hold each key once, so no key is hot.
+    batch that way, and both sides then hold each key once, so no key is hot. ``batch_rows`` saves
+    the count where the caller knows it.
     """
     keys = list(keys)
     first = first_per_key(batch, keys, order)
     stored_keys = stored.select(*keys)
     batch_keys = batch.select(*keys)
-    if fits_broadcast(batch_keys, broadcast_rows):
+    if batch_rows is None:
+        batch_rows = batch_keys.count()
+    if batch_rows <= broadcast_rows:
         stored_keys = stored_keys.join(F.broadcast(batch_keys.distinct()), keys, "left_semi")
     return first.join(stored_keys, keys, "left_anti")
 

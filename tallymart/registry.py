@@ -45,10 +45,15 @@ def type_envelope(spark, sf):
 
 
 def _ingested(spark, sf) -> Tables:
-    """All messages through the stream, a few files per batch."""
+    """All messages through the stream, a few files per batch.
+
+    The file source takes files by age. The repeats are written last, so that they arrive last.
+    """
     tables = Tables(scratch_path(spark, "ingest"))
     inbox = f"{tables.root}/inbox"
-    (fx.fx_all_messages(spark, sf).repartitionByRange(8, "offset").write.parquet(inbox))
+    messages, repeat = fx.fx_all_messages(spark, sf), F.col("offset") >= 10_000_000
+    messages.where(~repeat).repartition(6).write.parquet(inbox)
+    messages.where(repeat).repartition(2).write.mode("append").parquet(inbox)
     ingest_available(spark, files.file_messages(spark, inbox, files_per_batch=3), tables,
                      f"{tables.root}/ingest-checkpoint")
     return tables

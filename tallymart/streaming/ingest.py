@@ -27,14 +27,18 @@ def store_batch(batch: DataFrame, tables: Tables) -> None:
              .withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        new = insert_if_absent(accepted(typed), read_table(spark, tables.outbox, OUTBOX))
-        append_rows(new.select(*OUTBOX.names), tables.outbox, ["sent_date"],
-                    ["object_type", "sent_dttm"])
-        position = ("partition", "offset")
-        bad = insert_if_absent(
-            rejected(typed), read_table(spark, tables.message_rejects, MESSAGE_REJECTS),
-            keys=position, order=position)
-        append_rows(bad, tables.message_rejects)
+        n_rows, n_rejected = typed.agg(F.count(F.lit(1)), F.count("reason")).first()
+        if n_rejected < n_rows:
+            new = insert_if_absent(accepted(typed), read_table(spark, tables.outbox, OUTBOX),
+                                   batch_rows=n_rows - n_rejected)
+            append_rows(new.select(*OUTBOX.names), tables.outbox, ["sent_date"],
+                        ["object_type", "sent_dttm"])
+        if n_rejected:
+            position = ("partition", "offset")
+            bad = insert_if_absent(
+                rejected(typed), read_table(spark, tables.message_rejects, MESSAGE_REJECTS),
+                keys=position, order=position, batch_rows=n_rejected)
+            append_rows(bad, tables.message_rejects)
     finally:
         typed.unpersist()
 
