@@ -26,9 +26,12 @@ def converted(amount: Column, rate: Column) -> Column:
 def from_minor_units(total: Column) -> Column:
     """Divide by 100 and round half up to cents, in one rounding.
 
-    ``total / 100`` would be cut to six digits first and rounded a second time by the cast.
+    ``total / 100`` would be cut to six digits first and rounded a second time by the cast. Without
+    ANSI mode a value out of range becomes NULL, which the mart must not hold either.
     """
-    return (F.round(total, 0).cast(AMOUNT) * F.lit(Decimal("0.01"))).cast(PRICE)
+    cents = F.round(total, 0).cast(AMOUNT)
+    return F.coalesce((cents * F.lit(Decimal("0.01"))).cast(PRICE),
+                      F.raise_error(F.lit("turnover out of range")))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

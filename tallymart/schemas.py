@@ -12,7 +12,6 @@ CURRENCY = "CURRENCY"
 BASE_CURRENCY = 420
 DONE = "done"
 TEST_ACCOUNT = -1
-MESSAGES_PER_BATCH = 40
 BATCH_INTERVAL = "20 seconds"
 CSV_NULL = "NULL"
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss"

@@ -8,7 +8,7 @@ import pytest
 from tallymart.schemas import MESSAGE_REJECTS, MESSAGES, OUTBOX
 from tallymart.sources.files import file_messages
 from tallymart.sources.tables import Tables, read_table
-from tallymart.streaming.ingest import ingest_available, store_batch
+from tallymart.streaming.ingest import ingest_available, start_ingest, store_batch
 
 
 def message(number, note, day=1):
@@ -78,6 +78,20 @@ def test_stop_and_resume(spark, tmp_path):
     assert stored(spark, tables) == (WANT, REJECTS)
 
 
+def test_running_query_picks_up_new_files(spark, tmp_path):
+    tables, folder = Tables(str(tmp_path / "t")), str(tmp_path / "inbox")
+    drop_in(spark, folder, FIRST)
+    query = start_ingest(file_messages(spark, folder, 1), tables, str(tmp_path / "c"),
+                         interval="1 second")
+    try:
+        query.processAllAvailable()
+        drop_in(spark, folder, SECOND)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert stored(spark, tables) == (WANT, REJECTS)
+
+
 def test_batch_run_again_after_half_of_it_was_stored(spark, tmp_path):
     tables = Tables(str(tmp_path))
     store_batch(spark.createDataFrame(FIRST[:1], MESSAGES), tables)
