@@ -114,7 +114,7 @@ def main() -> None:
         run()
         seconds[name] = round(time.perf_counter() - start, 3)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(seconds.values()), 3),
-                      "unit": "sec", "queries": seconds, "sf": Path(SF_DIR).name.removeprefix("sf")}))
+                      "unit": "sec", "queries": seconds, "sf": float(Path(SF_DIR).name.removeprefix("sf"))}))
     spark.stop()
 
 

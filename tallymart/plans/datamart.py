@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from .bookmarks import day_to_load, move_past
 
 WORKFLOW_KEY = "staging_to_mart"
 
+log = logging.getLogger(__name__)
+
 
 def merge_into_mart(source: DataFrame, path: str, first: date, last: date,
                     delete_missing: bool = False) -> list[date]:
@@ -36,6 +39,7 @@ def merge_into_mart(source: DataFrame, path: str, first: date, last: date,
     changed = [row.date_update for row in
                compared.where(F.col("change").isin(changes)).select("date_update").distinct()
                .collect()]
+    log.info("from %s to %s: %d days changed", first, last, len(changed))
     if changed:
         touched = F.col("date_update").isin(changed)
         merged = compared.where(touched)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import date
 
@@ -22,6 +23,8 @@ from .bookmarks import day_to_load, move_past
 
 WORKFLOW_KEY = "outbox_to_staging"
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class ImportResult:
@@ -70,9 +73,12 @@ def import_days(spark: SparkSession, tables: Tables, first: date, last: date,
     skipped = [row.sent_date for row in days if not row.loaded]
     n_messages = {TRANSACTION: sum(row.n_transactions for row in days if row.loaded),
                   CURRENCY: sum(row.n_currencies for row in days if row.loaded)}
+    log.info("from %s to %s: %s messages in %d days; skipped %s", first, last, n_messages,
+             len(loaded), skipped)
     scope = on_days(F.col("load_date"), first, last)
     rejects = sum(_load(outbox, tables, kind, loaded, n_messages[kind], scope, strict)
                   for kind in _KINDS)
+    log.info("%d payloads broke the row contract", rejects)
     return ImportResult(loaded, skipped, rejects)
 
 

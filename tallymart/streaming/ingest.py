@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from ..operators.keyed import insert_if_absent
 from ..schemas import BATCH_INTERVAL, MESSAGE_REJECTS, OUTBOX
 from ..sources.tables import Tables, append_rows, read_table
 
+log = logging.getLogger(__name__)
+
 
 def store_batch(batch: DataFrame, tables: Tables) -> None:
     """Add one batch to the outbox and the reject table.
@@ -28,6 +32,7 @@ def store_batch(batch: DataFrame, tables: Tables) -> None:
              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         n_rows, n_rejected = typed.agg(F.count(F.lit(1)), F.count("reason")).first()
+        log.info("%d messages, %d of them rejected", n_rows, n_rejected)
         if n_rejected < n_rows:
             new = insert_if_absent(accepted(typed), read_table(spark, tables.outbox, OUTBOX),
                                    batch_rows=n_rows - n_rejected)

@@ -85,7 +85,8 @@ def test_replace_scope_touches_nothing_else(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = spark.range(1).select(F.lit("x").alias("v"), F.lit(1).alias("k")).schema
     frame = lambda rows: spark.createDataFrame(rows, "v string, k int")
-    content = lambda: {tuple(r) for r in read_table(spark, path, schema).select("v", "k").collect()}
+    content = lambda: {
+        tuple(r) for r in read_table(spark, path, schema).select("v", "k").collect()}
     append_rows(frame([("a", 1), ("b", 2), ("c", 3)]), path, ["k"])
     assert replace_scope(frame([("A", 1)]), path, schema, ["k"], F.col("k") <= 2) == 1
     assert content() == {("A", 1), ("c", 3)}

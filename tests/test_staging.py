@@ -19,9 +19,9 @@ from tallymart.schemas import (
 from tallymart.sources.tables import Tables, append_rows, read_table
 
 OP = "3f2504e0-4f89-11d3-9a0c-0305e82c3301"
-TX = {"operation_id": OP, "account_number_from": 903810, "account_number_to": 2, "currency_code": 430,
-      "country": "russia", "status": "done", "transaction_type": "c2b_partner_incoming",
-      "amount": 49600, "transaction_dt": "2022-10-01 12:00:00"}
+TX = {"operation_id": OP, "account_number_from": 1, "account_number_to": 2, "currency_code": 430,
+      "country": "country_1", "status": "done", "transaction_type": "transfer",
+      "amount": 125, "transaction_dt": "2022-10-01 12:00:00"}
 RATE = {"date_update": "2022-10-01 00:00:00", "currency_code": 430, "currency_code_with": 420,
         "currency_with_div": 1.07}
 
@@ -46,11 +46,11 @@ def test_typed_transaction(spark):
     row = contract(spark)
     assert row.reason is None
     assert row.transaction_dt == datetime(2022, 10, 1, 12)
-    assert row.amount == 49600 and row.load_date == D1
+    assert row.amount == 125 and row.load_date == D1
 
 
 @pytest.mark.parametrize("changes", [
-    {"amount": "49600"}, {"currency_code": "430"}, {"operation_id": OP.upper()},
+    {"amount": "125"}, {"currency_code": "430"}, {"operation_id": OP.upper()},
     {"operation_id": "{" + OP + "}"}, {"account_number_from": 10_000_000_000},
     {"country": ""}, {"country": 'a "b", c'}, {"status": 5},
 ])
