@@ -185,3 +185,15 @@ def test_one_parse_per_message(spark):
 def test_decode_keeps_every_row(spark):
     values = [value for value, _ in CASES]
     assert decode_envelope(messages(spark, values)).count() == len(values)
+
+
+@pytest.mark.parametrize("allowed,reason", [("false", "bad_json"), ("true", None)])
+def test_same_key_twice(spark, allowed, reason):
+    value = json.dumps(GOOD)[:-1] + ', "object_type": "CURRENCY"}'
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", allowed)
+    try:
+        row = read_envelope(messages(spark, [value])).first()
+    finally:
+        spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    assert row.reason == reason
+    assert reason or row.object_type == "CURRENCY"
