@@ -20,6 +20,10 @@ STOP_WORDS = (
 )
 
 
+#: Up to so many repeated windows, a text's windows are looked up among them one by one.
+FEW = 64
+
+
 @dataclass(frozen=True)
 class Rule:
     """A measure must lie within [least, most]; None leaves that side open."""
@@ -43,35 +47,43 @@ def measured(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and
     n_stop_words of each whole text; all 0 for a null or empty one.
 
-    A repeat is found by sorting a text's windows of three words by hash: equal neighbours are
-    repeats, and the words they cover are counted once each.
+    Windows of three words are compared by 64-bit hash. Sorted hashes show which ones repeat; with few
+    of these, windows are looked up among them, with many, windows are sorted together with their
+    places. Either way the words that repeats cover are counted once each.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.filter(F.split(text, SPACE), lambda w: w != "")
+    words = F.array_remove(F.split(text, SPACE), "")
     lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")))
-    hashed = "transform(_words, w -> xxhash64(w))"
-    windows = ("array_sort(transform(sequence(0, n_words - 3), i -> "
-               "struct(hash64(_hashes[i], _hashes[i + 1], _hashes[i + 2]) AS h, i AS i)))")
-    windows = windows.replace("hash64", "xxhash64")
-    repeats = ("filter(_windows, (x, k) -> (k > 0 AND _windows[k - 1].h = x.h) "
-               "OR (k + 1 < size(_windows) AND _windows[k + 1].h = x.h))")
-    covered = "size(array_distinct(flatten(transform(_repeats, x -> array(x.i, x.i + 1, x.i + 2)))))"
+    stop_words = [*STOP_WORDS, *[w.capitalize() for w in STOP_WORDS]]
+    hashed = F.expr("transform(_words, w -> xxhash64(w))")
+    windows = F.expr("CASE WHEN n_words > 3 THEN transform(sequence(0, n_words - 3), "
+                     "i -> xxhash64(_hashes[i], _hashes[i + 1], _hashes[i + 2])) END")
+    repeated = F.expr("array_distinct(filter(_sorted, (h, k) -> k > 0 AND _sorted[k - 1] = h))")
+    looked_up = F.expr("filter(transform(_windows, (h, i) -> if(array_contains(_repeated, h), i, -1)), "
+                       "i -> i >= 0)")
+    placed = F.expr("array_sort(transform(_windows, (h, i) -> struct(h AS h, i AS i)))")
+    neighbours = F.expr("transform(filter(_placed, (x, k) -> (k > 0 AND _placed[k - 1].h = x.h) OR "
+                        "get(_placed, k + 1).h <=> x.h), x -> x.i)")
+    covered = F.expr("size(array_distinct(flatten(transform(_places, i -> array(i, i + 1, i + 2)))))")
+    none, few = F.size("_repeated") <= 0, F.size("_repeated") <= FEW
     return (
         docs.withColumn("_words", words).withColumn("n_words", F.size("_words"))
         .withColumn("_lines", lines)
-        .withColumn("_hashes", F.expr(hashed))
-        .withColumn("_windows", F.expr(
-            f"CASE WHEN n_words > 3 THEN {windows} END"))
-        .withColumn("_repeats", F.expr(repeats))
+        .withColumn("_hashes", hashed)
+        .withColumn("_windows", windows)
+        .withColumn("_sorted", F.sort_array("_windows"))
+        .withColumn("_repeated", repeated)
+        .withColumn("_placed", F.when(~few, placed))
+        .withColumn("_places", F.when(none, None).when(few, looked_up).otherwise(neighbours))
         .select(
-            *[c for c in docs.columns],
+            *docs.columns,
             F.col("n_words").cast("long").alias("n_words"),
             F.length(F.regexp_replace(text, SPACE, "")).cast("long").alias("word_chars"),
             F.length(F.regexp_replace(text, rf"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
             F.size("_lines").cast("long").alias("n_lines"),
             (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-            F.coalesce(F.expr(covered), F.lit(0)).cast("long").alias("n_repeat_words"),
-            F.size(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long")
+            F.greatest(F.coalesce(covered, F.lit(0)), F.lit(0)).cast("long").alias("n_repeat_words"),
+            F.size(F.filter("_words", lambda w: w.isin(*stop_words))).cast("long")
             .alias("n_stop_words"),
         )
     )

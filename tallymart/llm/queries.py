@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import quality, sharding
+from . import jaccard_join, quality, sharding
 from .common import table
 
 
@@ -21,4 +21,10 @@ def op4_quality_rules(spark, sf):
         "base_failed", "kept", "n_lines", "n_stop_words", "failed_rules")
 
 
-QUERIES = {query.__name__: query for query in (op2_sharding, op4_quality_rules)}
+def op9_ngram_jaccard_join(spark, sf):
+    found = jaccard_join.jaccard_components(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {query.__name__: query for query in (
+    op2_sharding, op4_quality_rules, op9_ngram_jaccard_join)}
