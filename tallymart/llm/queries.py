@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import jaccard_join, quality, sharding
+from . import decontamination, jaccard_join, quality, sharding
 from .common import table
 
 
@@ -26,5 +26,15 @@ def op9_ngram_jaccard_join(spark, sf):
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op10_benchmark_decontamination(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontamination.decontaminate(docs, table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        decontamination.items_digest().alias("items_sha256"),
+        decontamination.contaminated().alias("contaminated"))
+
+
 QUERIES = {query.__name__: query for query in (
-    op2_sharding, op4_quality_rules, op9_ngram_jaccard_join)}
+    op2_sharding, op4_quality_rules, op9_ngram_jaccard_join,
+    op10_benchmark_decontamination)}
