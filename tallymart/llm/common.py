@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.tables import scratch_path
 
@@ -57,7 +58,7 @@ def text_steps(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch],
-                schema: str) -> DataFrame:
+                schema: str | T.StructType) -> DataFrame:
     """``function`` on each Arrow batch of ``df``."""
 
     def run(batches):
@@ -66,3 +67,8 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
                 yield function(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def schema_with(docs: DataFrame, *more: tuple[str, T.DataType]) -> T.StructType:
+    """The schema of ``docs`` with further fields."""
+    return T.StructType([*docs.schema.fields, *[T.StructField(n, kind) for n, kind in more]])

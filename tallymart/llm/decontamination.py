@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words
-from .common import text_steps
+from .common import schema_with, text_steps
 from .fm_index import FmIndex
 
 WINDOW = 13
@@ -132,10 +132,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     docs = docs.select(*[c for c in docs.columns if c not in made])
     passes = _passes(benchmark, window)
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    schema = T.StructType([
-        *docs.schema.fields, T.StructField("n_words", T.LongType()),
-        T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())),
-        T.StructField("spans", T.ArrayType(span))])
+    schema = schema_with(
+        docs, ("n_words", T.LongType()), ("n_hit", T.LongType()),
+        ("items", T.ArrayType(T.StringType())), ("spans", T.ArrayType(span)))
     at = docs.columns.index(text)
 
     def run(batches):

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, quality, sharding
-from .common import table
+from . import decontamination, jaccard_join, language, packing, quality, sharding
+from .common import held_out, table
 
 
 def op2_sharding(spark, sf):
@@ -21,6 +21,19 @@ def op4_quality_rules(spark, sf):
         "base_failed", "kept", "n_lines", "n_stop_words", "failed_rules")
 
 
+def op5_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    held = held_out(F.col("doc_id"))
+    model = language.fit(docs.where(~held).select("doc_id", "text", "lang"))
+    return language.identify(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text")
+
+
+def op6_packing(spark, sf):
+    packed = packing.pack_documents(table(spark, sf, "documents"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
+                         "offset")
+
+
 def op9_ngram_jaccard_join(spark, sf):
     found = jaccard_join.jaccard_components(table(spark, sf, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -36,5 +49,5 @@ def op10_benchmark_decontamination(spark, sf):
 
 
 QUERIES = {query.__name__: query for query in (
-    op2_sharding, op4_quality_rules, op9_ngram_jaccard_join,
+    op2_sharding, op4_quality_rules, op5_language_id, op6_packing, op9_ngram_jaccard_join,
     op10_benchmark_decontamination)}
