@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, language, packing, quality, sharding
+from . import decontamination, jaccard_join, language, packing, quality, sharding, toxicity
 from .common import held_out, table
 
 
@@ -34,6 +34,14 @@ def op6_packing(spark, sf):
                          "offset")
 
 
+def op7_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held = held_out(F.col("doc_id"))
+    labelled = toxicity.with_labels(
+        docs.where(~held), table(spark, sf, "labels").where(~held), "toxic")
+    return toxicity.classify(docs.withColumn("held_out", held), toxicity.fit(labelled)).drop("text")
+
+
 def op9_ngram_jaccard_join(spark, sf):
     found = jaccard_join.jaccard_components(table(spark, sf, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -49,5 +57,5 @@ def op10_benchmark_decontamination(spark, sf):
 
 
 QUERIES = {query.__name__: query for query in (
-    op2_sharding, op4_quality_rules, op5_language_id, op6_packing, op9_ngram_jaccard_join,
-    op10_benchmark_decontamination)}
+    op2_sharding, op4_quality_rules, op5_language_id, op6_packing, op7_toxicity,
+    op9_ngram_jaccard_join, op10_benchmark_decontamination)}
