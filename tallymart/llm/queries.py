@@ -4,16 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, language, packing, quality, sharding, toxicity
+from . import (
+    decontamination, fixity, jaccard_join, language, line_dedup, packing, quality, secrets, sharding,
+    toxicity,
+)
 from .common import held_out, table
 
 
+def op1_merkle_fixity(spark, sf):
+    """All pages against a replica that lost, changed and gained some, by their id."""
+    pages = table(spark, sf, "pages")
+    page = F.col("page_id")
+    replica = pages.where(page % 1009 != 7).withColumn(
+        "html", F.when(page % 997 == 5, F.concat("html", F.lit(" "))).otherwise(F.col("html")))
+    again = pages.where(page % 1013 == 11).withColumn("url", F.concat("url", F.lit("#2")))
+    one, other = (fixity.record_hashes(df.withColumn("archive", F.lit("pages")), "archive", "page_id",
+                                       ["url", "html"]) for df in (pages, replica.unionByName(again)))
+    return fixity.audit(one, other).select(F.col("offset").alias("page_id"), "state", "n")
+
+
 def op2_sharding(spark, sf):
     placed = sharding.shard_documents(table(spark, sf, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                          "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_line_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return line_dedup.deduplicate_lines(docs)
+
+
 def op4_quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return quality.judged(quality.measured(docs)).select(
@@ -42,6 +62,17 @@ def op7_toxicity(spark, sf):
     return toxicity.classify(docs.withColumn("held_out", held), toxicity.fit(labelled)).drop("text")
 
 
+def op8_secret_scan(spark, sf):
+    found = secrets.find_secrets(table(spark, sf, "documents"))
+    spans = F.col("found")
+    live = F.size(F.filter(spans, lambda x: x["live"])).cast("long")
+    return found.select(
+        "doc_id", *[secrets.count_of(spans, kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(secrets.joined(secrets.base(spans)), 256).alias("base_sha256"),
+        secrets.joined(spans).alias("spans"), live.alias("n_live"),
+        (F.size(spans) - live).alias("n_example"))
+
+
 def op9_ngram_jaccard_join(spark, sf):
     found = jaccard_join.jaccard_components(table(spark, sf, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -57,5 +88,5 @@ def op10_benchmark_decontamination(spark, sf):
 
 
 QUERIES = {query.__name__: query for query in (
-    op2_sharding, op4_quality_rules, op5_language_id, op6_packing, op7_toxicity,
-    op9_ngram_jaccard_join, op10_benchmark_decontamination)}
+    op1_merkle_fixity, op2_sharding, op3_line_dedup, op4_quality_rules, op5_language_id, op6_packing,
+    op7_toxicity, op8_secret_scan, op9_ngram_jaccard_join, op10_benchmark_decontamination)}
