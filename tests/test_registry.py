@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tallymart.oracle import ORACLE
+from tallymart.registry import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="session")
@@ -28,6 +29,8 @@ def by_name(columns, rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
