@@ -28,12 +28,14 @@ from .components import components
 SIZE = 5
 PERCENT = 75
 #: Coordinates of a point.
-GROUPS = 64
+GROUPS = 256
 #: Documents looked at to learn which shingles are common, how often a shingle must be among them,
 #: and how many of the most common are told apart. These set the order of shingles, never the result.
 FIT_DOCUMENTS, FIT_LEAST, FIT_SHINGLES = 8_192, 3, 100_000
 #: Shingles that a task compares at once, and points of a leaf.
 BUCKET_SHINGLES, LEAF = 1_000_000, 512
+#: Nodes up to which a list is compared as it is; a longer one is packed into leaves.
+SHORT_LIST = 32
 #: Document ids up to this number are sent to the scan of the texts; more are joined by shuffle.
 SENT_IDS = 1_000_000
 
@@ -55,8 +57,18 @@ def node_of(shingles: np.ndarray) -> int | None:
                           signed=True)
 
 
-def point(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype("<u4")
+def point(shingles: np.ndarray) -> bytes:
+    """Counts by group, a byte each unless one needs more."""
+    counts = np.bincount((shingles % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
+    return counts.astype("<u4" if counts.max() > 255 else np.uint8).tobytes()
+
+
+def points(blobs: list[bytes]) -> np.ndarray:
+    """A row for each point."""
+    if all(len(blob) == GROUPS for blob in blobs):
+        return np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, GROUPS)
+    return np.array([np.frombuffer(blob, np.uint8 if len(blob) == GROUPS else "<u4") for blob in blobs],
+                    np.uint32).reshape(-1, GROUPS)
 
 
 def needed(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -77,7 +89,7 @@ def _nodes(docs: DataFrame, size: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([
             batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
             pa.array(map(node_of, sets), pa.int64()),
-            pa.array((point(s).tobytes() for s in sets), pa.binary())],
+            pa.array(map(point, sets), pa.binary())],
             ["doc_id", "n_shingles", "node", "point"])
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run,
@@ -171,20 +183,21 @@ def _lists(docs: DataFrame, size: int, percent: int, common, buckets: int) -> Da
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The distinct ``pairs`` (a, b) whose points may overlap enough and whose sets do."""
-    points = nodes.where("node IS NOT NULL").groupBy("node").agg(
-        F.first("point").alias("point"), F.min("doc_id").alias("doc_id"))
+    """The distinct ``pairs`` (a, b) whose points may overlap enough and whose sets do.
+
+    ``nodes`` has a point and a document for each node.
+    """
 
     def bounded(batch):
-        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, GROUPS)
-                .astype(np.int64) for i in (2, 3))
-        may = np.minimum(a, b).sum(1) >= needed(a.sum(1), b.sum(1), percent)
+        a, b = (points(batch.column(i).to_pylist()) for i in (2, 3))
+        n, m = a.sum(1, dtype=np.int64), b.sum(1, dtype=np.int64)
+        may = np.minimum(a, b).sum(1, dtype=np.int64) >= needed(n, m, percent)
         return batch.filter(pa.array(may)).select(["a", "b"])
 
     may = map_batches(
         pairs.distinct()
-        .join(points.select(F.col("node").alias("a"), F.col("point").alias("p")), "a")
-        .join(points.select(F.col("node").alias("b"), F.col("point").alias("q")), "b")
+        .join(nodes.select(F.col("node").alias("a"), F.col("point").alias("p")), "a")
+        .join(nodes.select(F.col("node").alias("b"), F.col("point").alias("q")), "b")
         .select("a", "b", "p", "q"), bounded, "a long, b long")
     may = cut(may, "pairs")
 
@@ -199,7 +212,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
             ["node", "shingles"])
 
     asked = may.select(F.col("a").alias("node")).union(may.select("b")).distinct()
-    asked = cut(points.join(asked, "node", "left_semi").select("node", "doc_id"), "asked")
+    asked = cut(nodes.join(asked, "node", "left_semi").select("node", "doc_id"), "asked")
     n_asked = asked.count()
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     found = texts.join(F.broadcast(asked) if n_asked <= SENT_IDS else asked, "doc_id")
@@ -230,13 +243,13 @@ def _leaves(rows: DataFrame) -> DataFrame:
         "leaf", F.expr("pmod(xxhash64(node), leaves)"))
 
     def pack(found: pa.Table) -> pa.Table:
-        points = np.frombuffer(b"".join(found.column("point").to_pylist()), "<u4").reshape(-1, GROUPS)
+        all_points = points(found.column("point").to_pylist()).astype("<u4")
         blob = lambda name: found.column(name).to_numpy().astype(np.int64).tobytes()
         return pa.table({
             "list": found.column("list")[:1], "band": found.column("band")[:1],
             "leaf": found.column("leaf")[:1], "nodes": [blob("node")], "roots": [blob("root")],
-            "points": [points.tobytes()], "box": [points.max(0).tobytes()],
-            "least": [int(points.sum(1).min())]})
+            "points": [all_points.tobytes()], "box": [all_points.max(0).tobytes()],
+            "least": [int(all_points.sum(1, dtype=np.int64).min())]})
 
     return dealt.select("list", "band", "leaf", "node", "root", "point").groupBy(
         "list", "band", "leaf").applyInArrow(
@@ -293,32 +306,45 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     several. Other columns are ignored. No rows give no rows.
     """
     spark = docs.sparkSession
-    nodes = cut(_nodes(docs, size), "nodes")
+    rows = cut(_nodes(docs, size), "nodes")
     known = docs.where("doc_id IS NOT NULL")
-    nodes_known = nodes.where("doc_id IS NOT NULL AND node IS NOT NULL")
-    shingles = nodes_known.agg(F.sum("n_shingles")).head()[0] or 0
+    nodes = cut(rows.where("doc_id IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(
+        F.first("point").alias("point"), F.first("n_shingles").alias("n"),
+        F.min("doc_id").alias("doc_id")), "points")
+    shingles = nodes.agg(F.sum("n")).head()[0] or 0
     buckets = max(spread(spark, 16), math.ceil(shingles / 100 * (100 - percent) / BUCKET_SHINGLES))
-    lists = cut(_lists(known, size, percent, _common(known, size), buckets), "lists")
-
-    after = F.lead("node").over(Window.partitionBy("list").orderBy("node"))
-    near = lists.select(F.col("node").alias("a"), after.alias("b")).where("b IS NOT NULL")
-    links = cut(_verified(near, known, nodes_known, size, percent), "links")
+    lists = _lists(known, size, percent, _common(known, size), buckets)
+    lists = cut(lists.join(nodes.select("node", "n"), "node"), "lists")
+
+    near_size = f"100 * least(n, m) >= {percent} * greatest(n, m)"
+    by_size = Window.partitionBy("list").orderBy("n", "node")
+    near = lists.select(F.col("node").alias("a"), "n", F.lead("node").over(by_size).alias("b"),
+                        F.lead("n").over(by_size).alias("m")).where(near_size)
+    near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = cut(_verified(near, known, nodes, size, percent), "links")
     roots = cut(components(links), "roots")
 
     rooted = lists.join(roots, "node", "left").select(
-        "list", "node", F.coalesce("root", "node").alias("root"))
-    apart = rooted.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    points = nodes_known.groupBy("node").agg(
-        F.first("point").alias("point"), F.first("n_shingles").alias("n"))
+        "list", "node", "n", F.coalesce("root", "node").alias("root"))
+    apart = rooted.groupBy("list").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members")
+    ).where("x <> y").select("list", "members")
+    open_ = cut(rooted.join(apart, "list"), "open")
+    short = open_.where(F.col("members") <= SHORT_LIST)
+    other = short.select("list", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("r"))
+    crossing = short.withColumnRenamed("node", "a").join(other, "list").where(
+        f"a < b AND root <> r AND {near_size}").select("a", "b")
     step = math.log(100 / percent)
-    rows = rooted.join(apart, "list", "left_semi").join(points, "node").withColumn(
+    long = open_.where(F.col("members") > SHORT_LIST).join(nodes.select("node", "point"), "node").withColumn(
         "band", F.floor(F.log("n") / F.lit(step) + F.lit(1e-9)))
-    more = cut(_verified(_crossing(_leaves(rows), percent), known, nodes_known, size, percent), "more")
+    crossing = crossing.unionByName(_crossing(_leaves(long), percent)).distinct()
+    crossing = crossing.join(near.distinct(), ["a", "b"], "left_anti")
+    more = cut(_verified(crossing, known, nodes, size, percent), "more")
     if more.head():
         roots = cut(components(more.unionByName(
             roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
 
-    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.where("doc_id IS NOT NULL AND root IS NOT NULL").groupBy("root").agg(
         F.min("doc_id").alias("least"))
     return placed.join(least, "root", "left").select(
