@@ -115,22 +115,23 @@ def deduplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     white space at their ends. Each run stays once, at its first place. A document that loses all its
     lines gets an empty text. Rows without id come first; rows with the same id and text are one
     document and lose the same lines. A null text stays null and has no lines. Columns called
-    n_lines or n_deleted are replaced; those called _k or _t must not be there.
+    n_lines or n_deleted are replaced, others stay.
     """
-    docs = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_deleted")])
-    keyed = docs.withColumn("_k", F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63))).withColumn(
-        "_t", F.xxhash64("text"))
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
+    keyed = docs.select(
+        F.struct(*kept).alias("_row"), F.col("text").cast("string").alias("text"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)).alias("_k"),
+        F.xxhash64("text").alias("_t"))
     runs = cut(repeated_runs(keyed, min_words), "runs")
     few = runs.count() <= SENT_ROWS
     found = keyed.join(F.broadcast(runs) if few else runs, ["_k", "_t"], "left")
     lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda _, i: ~F.exists(
+    left = F.filter(lines, lambda _, i: ~F.exists(
         "runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
     touched = F.col("runs").isNotNull()
-    return (found.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
-            .withColumn("n_lines", F.greatest("n_lines", F.lit(0).cast("long")))
-            .withColumn("_kept", F.when(touched, kept))
-            .withColumn("n_deleted", F.when(touched, F.col("n_lines") - F.size("_kept")).otherwise(F.lit(0))
-                        .cast("long"))
-            .withColumn("text", F.when(touched, F.array_join("_kept", "\n")).otherwise(F.col("text")))
-            .select(*docs.columns, "n_lines", "n_deleted"))
+    n_lines = F.when(F.col("text").isNotNull(), F.size(lines)).otherwise(0).cast("long")
+    found = found.withColumn("_left", F.when(touched, left))
+    text = F.when(touched, F.array_join("_left", "\n")).otherwise(F.col("text"))
+    deleted = F.when(touched, n_lines - F.size("_left")).otherwise(0).cast("long")
+    return found.withColumn("_row", F.col("_row").withField("text", text)).select(
+        "_row.*", n_lines.alias("n_lines"), deleted.alias("n_deleted"))

@@ -43,15 +43,23 @@ RULES = (
 )
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
+            "n_stop_words")
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and
     n_stop_words of each whole text; all 0 for a null or empty one.
 
+    Columns of ``docs`` called like a measure are replaced, others stay.
+
     Windows of three words are compared by 64-bit hash. Sorted hashes show which ones repeat; with few
     of these, windows are looked up among them, with many, windows are sorted together with their
     places. Either way the words that repeats cover are counted once each.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
+    kept = [c for c in docs.columns if c not in MEASURES]
+    docs = docs.select(F.struct(*kept).alias("_row"), F.coalesce("text", F.lit("")).alias("_text"))
+    text = F.col("_text")
     words = F.array_remove(F.split(text, SPACE), "")
     lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")))
     stop_words = [*STOP_WORDS, *[w.capitalize() for w in STOP_WORDS]]
@@ -76,7 +84,7 @@ def measured(docs: DataFrame) -> DataFrame:
         .withColumn("_placed", F.when(~few, placed))
         .withColumn("_places", F.when(none, None).when(few, looked_up).otherwise(neighbours))
         .select(
-            *docs.columns,
+            "_row.*",
             F.col("n_words").cast("long").alias("n_words"),
             F.length(F.regexp_replace(text, SPACE, "")).cast("long").alias("word_chars"),
             F.length(F.regexp_replace(text, rf"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
@@ -97,7 +105,10 @@ def _breaks(rule: Rule) -> Column:
 
 
 def judged(measures: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``measures`` with base_failed, failed_rules (names, comma-joined) and kept."""
+    """``measures`` with base_failed, failed_rules (names, comma-joined) and kept.
+
+    A text without words fails. Columns called like a verdict are replaced.
+    """
     base = ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     failed = F.concat_ws(",", *[F.when(_breaks(rule), rule.name) for rule in rules])
     return (measures.withColumn("base_failed", base).withColumn("failed_rules", failed)
