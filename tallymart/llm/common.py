@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from ..sources.tables import scratch_path
 
 #: Bytes of text that a numpy step works on at once; a longer document is a step of its own.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 500_000
+#: Bytes of an Arrow batch that a function gets at once; a longer row comes alone.
+SLICE_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,14 +59,21 @@ def text_steps(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         row = end
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in pieces of bounded size: a worker's memory must not follow a batch's."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch],
                 schema: str | T.StructType) -> DataFrame:
-    """``function`` on each Arrow batch of ``df``."""
+    """``function`` on slices of the Arrow batches of ``df``."""
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
+        return map(function, slices(batches))
 
     return df.mapInArrow(run, schema)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words
-from .common import schema_with, text_steps
+from .common import schema_with, slices, text_steps
 from .fm_index import FmIndex
 
 WINDOW = 13
@@ -126,7 +126,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     last word of a stretch of hit words. Words are runs of ASCII digits and letters, A-Z as a-z, and
     of all characters beyond ASCII. A null or empty text has no words and no hits; an empty benchmark
     hits nothing; items of equal text are all named. Other columns stay; columns called like a result
-    are replaced. An Arrow batch of documents is a shard.
+    are replaced. A slice of an Arrow batch is a shard.
     """
     made = ("n_words", "n_hit", "items", "spans")
     docs = docs.select(*[c for c in docs.columns if c not in made])
@@ -138,7 +138,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     at = docs.columns.index(text)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = list(_words(batch.column(at)))
             documents = [hashed for _, hashed, *_ in found]
             hits = [np.zeros(len(hashed), bool) for hashed in documents]

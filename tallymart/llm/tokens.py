@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words whose ids a worker keeps.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 #: White space other than a space and a line feed.
 OTHER_SPACE = ("\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
                "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ngrams
-from .common import map_batches, schema_with, text_steps
+from .common import map_batches, schema_with, slices, text_steps
 
 ORDERS, BITS = (4, 6, 8), 18
 THRESHOLD = 0.3
@@ -49,7 +49,7 @@ def _counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches):
         counts, rows = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             labels = batch.column(1).to_numpy(zero_copy_only=False)
             for label, buckets in zip(labels, _present(batch.column(0))):
                 counts[label, buckets] += 1
@@ -72,11 +72,11 @@ def _counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
              .withColumn("part", (F.spark_partition_id() / 32).cast("int")))
 
     once = parts.groupBy("slice", "part").applyInArrow(add, schema)
-    slices = once.groupBy("slice").applyInArrow(add, schema).orderBy("slice").collect()
-    if not slices:
+    total = once.groupBy("slice").applyInArrow(add, schema).orderBy("slice").collect()
+    if not total:
         return np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    return (np.concatenate([np.frombuffer(s.counts, np.int64).reshape(2, -1) for s in slices], axis=1),
-            np.frombuffer(slices[0].rows, np.int64))
+    return (np.concatenate([np.frombuffer(s.counts, np.int64).reshape(2, -1) for s in total], axis=1),
+            np.frombuffer(total[0].rows, np.int64))
 
 
 class Model:
