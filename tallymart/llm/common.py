@@ -27,7 +27,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: a lost executor costs no earlier stage."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Deletes what ``cut`` has written, once all that was made of it is written too."""
+    for df in stored:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def held_out(doc_id: Column) -> Column:

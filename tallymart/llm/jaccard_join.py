@@ -18,11 +18,10 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import words
-from .common import cut, map_batches, spread, text_steps
+from .common import cut, discard, map_batches, spread, text_steps
 from .components import components
 
 SIZE = 5
@@ -226,10 +225,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
             ok.append(100 * both >= percent * (len(x) + len(y) - both))
         return batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
-    return map_batches(
-        may.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-        .select("a", "b", "x", "y"), checked, "a long, b long")
+    # The greater node comes first: of a list it is in one pair, the least one in all of them.
+    links = cut(map_batches(
+        may.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+        .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+        .select("a", "b", "x", "y"), checked, "a long, b long"), "links")
+    discard(may, asked, sets)
+    return links
 
 
 def _leaves(rows: DataFrame) -> DataFrame:
@@ -295,8 +297,8 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     """doc_id, n_shingles, component_id and node of every row of ``docs`` (doc_id, text).
 
     Two documents link when 100 * intersection >= ``percent`` * union of their shingle sets;
-    component_id is the least doc_id that links reach. Neighbours in each list of nodes with a
-    common first shingle are compared first, and joined into components. Only lists whose nodes are
+    component_id is the least doc_id that links reach. In each list of nodes with a common first
+    shingle all are compared with the least node first, and joined into components. Only lists whose nodes are
     then still apart go on: all their pairs across components are bounded by their points, and those
     in reach are compared. So no link between components is lost, and members of one need no pairs.
 
@@ -317,11 +319,10 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     lists = cut(lists.join(nodes.select("node", "n"), "node"), "lists")
 
     near_size = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    by_size = Window.partitionBy("list").orderBy("n", "node")
-    near = lists.select(F.col("node").alias("a"), "n", F.lead("node").over(by_size).alias("b"),
-                        F.lead("n").over(by_size).alias("m")).where(near_size)
-    near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = cut(_verified(near, known, nodes, size, percent), "links")
+    least = lists.groupBy("list").agg(F.min_by(F.struct("node", "n"), "node").alias("least"))
+    near = lists.join(least.select("list", F.col("least.node").alias("a"), F.col("least.n").alias("m")), "list")
+    near = near.where(f"a <> node AND {near_size}").select("a", F.col("node").alias("b")).distinct()
+    links = _verified(near, known, nodes, size, percent)
     roots = cut(components(links), "roots")
 
     rooted = lists.join(roots, "node", "left").select(
@@ -338,12 +339,13 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     long = open_.where(F.col("members") > SHORT_LIST).join(nodes.select("node", "point"), "node").withColumn(
         "band", F.floor(F.log("n") / F.lit(step) + F.lit(1e-9)))
     crossing = crossing.unionByName(_crossing(_leaves(long), percent)).distinct()
-    crossing = crossing.join(near.distinct(), ["a", "b"], "left_anti")
-    more = cut(_verified(crossing, known, nodes, size, percent), "more")
+    crossing = crossing.join(near, ["a", "b"], "left_anti")
+    more = _verified(crossing, known, nodes, size, percent)
     if more.head():
         roots = cut(components(more.unionByName(
             roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
 
+    discard(lists, open_, nodes)
     placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.where("doc_id IS NOT NULL AND root IS NOT NULL").groupBy("root").agg(
         F.min("doc_id").alias("least"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches
+from .common import cut, discard, map_batches
 
 MIN_WORDS = 50
 #: Documents with deletions up to this number are sent to the scan of the texts.
@@ -104,7 +104,9 @@ def repeated_runs(keyed: DataFrame, min_words: int) -> DataFrame:
     pairs = (matches.join(lines, ["_k", "_t"]).join(sources, ["s_k", "s_t"])
              .select("_k", "_t", "matches", "lines", "source"))
     runs = map_batches(pairs, _extended, "_k long, _t long, runs array<struct<first:long,last:long>>")
-    return runs.groupBy("_k", "_t").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    found = cut(runs.groupBy("_k", "_t").agg(F.flatten(F.collect_list("runs")).alias("runs")), "runs")
+    discard(documents)
+    return found
 
 
 def deduplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -122,7 +124,7 @@ def deduplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.struct(*kept).alias("_row"), F.col("text").cast("string").alias("text"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)).alias("_k"),
         F.xxhash64("text").alias("_t"))
-    runs = cut(repeated_runs(keyed, min_words), "runs")
+    runs = repeated_runs(keyed, min_words)
     few = runs.count() <= SENT_ROWS
     found = keyed.join(F.broadcast(runs) if few else runs, ["_k", "_t"], "left")
     lines = F.split("text", "\n")
