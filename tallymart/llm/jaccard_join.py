@@ -26,8 +26,9 @@ from .components import components
 
 SIZE = 5
 PERCENT = 75
-#: Coordinates of a point.
-GROUPS = 256
+#: Coordinates of a point of few shingles. A larger set's point has four times as many, and again, until
+#: there is one for every DENSE shingles: in crowded groups all sets look alike.
+GROUPS, DENSE = 256, 4
 #: Documents looked at to learn which shingles are common, how often a shingle must be among them,
 #: and how many of the most common are told apart. These set the order of shingles, never the result.
 FIT_DOCUMENTS, FIT_LEAST, FIT_SHINGLES = 8_192, 3, 100_000
@@ -57,17 +58,35 @@ def node_of(shingles: np.ndarray) -> int | None:
 
 
 def point(shingles: np.ndarray) -> bytes:
-    """Counts by group, a byte each unless one needs more."""
-    counts = np.bincount((shingles % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
-    return counts.astype("<u4" if counts.max() > 255 else np.uint8).tobytes()
-
-
-def points(blobs: list[bytes]) -> np.ndarray:
-    """A row for each point."""
-    if all(len(blob) == GROUPS for blob in blobs):
-        return np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, GROUPS)
-    return np.array([np.frombuffer(blob, np.uint8 if len(blob) == GROUPS else "<u4") for blob in blobs],
-                    np.uint32).reshape(-1, GROUPS)
+    """Bytes of a count (1 or 4), then the counts by group."""
+    groups = GROUPS
+    while groups * DENSE < len(shingles):
+        groups *= 4
+    counts = np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups)
+    wide = counts.max() > 255
+    return (b"\4" if wide else b"\1") + counts.astype("<u4" if wide else np.uint8).tobytes()
+
+
+def counts_of(blob: bytes, groups: int | None = None) -> np.ndarray:
+    """The counts of a point, added up to ``groups`` coordinates."""
+    counts = np.frombuffer(blob, "<u4" if blob[0] == 4 else np.uint8, offset=1)
+    if groups and len(counts) > groups:
+        counts = counts.reshape(-1, groups).sum(0, dtype=np.uint32)
+    return counts
+
+
+def overlap_bounds(some: list[bytes], others: list[bytes]) -> np.ndarray:
+    """For each pair of points the sum of the lesser counts, in the coordinates that both have."""
+    if all(len(blob) == GROUPS + 1 for blobs in (some, others) for blob in blobs):
+        a, b = (np.frombuffer(b"".join(x), np.uint8).reshape(-1, GROUPS + 1)[:, 1:] for x in (some, others))
+        return np.minimum(a, b).sum(1, dtype=np.int64)
+    bounds = np.zeros(len(some), np.int64)
+    for i, (p, q) in enumerate(zip(some, others)):
+        p, q = counts_of(p), counts_of(q)
+        groups = min(len(p), len(q))
+        p, q = (x.reshape(-1, groups).sum(0, dtype=np.int64) for x in (p, q))
+        bounds[i] = np.minimum(p, q).sum()
+    return bounds
 
 
 def needed(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -188,16 +207,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
     """
 
     def bounded(batch):
-        a, b = (points(batch.column(i).to_pylist()) for i in (2, 3))
-        n, m = a.sum(1, dtype=np.int64), b.sum(1, dtype=np.int64)
-        may = np.minimum(a, b).sum(1, dtype=np.int64) >= needed(n, m, percent)
+        n, m = (batch.column(i).to_numpy() for i in (4, 5))
+        may = overlap_bounds(batch.column(2).to_pylist(), batch.column(3).to_pylist()) >= needed(n, m, percent)
         return batch.filter(pa.array(may)).select(["a", "b"])
 
     may = map_batches(
         pairs.distinct()
-        .join(nodes.select(F.col("node").alias("a"), F.col("point").alias("p")), "a")
-        .join(nodes.select(F.col("node").alias("b"), F.col("point").alias("q")), "b")
-        .select("a", "b", "p", "q"), bounded, "a long, b long")
+        .join(nodes.select(F.col("node").alias("a"), F.col("point").alias("p"), "n"), "a")
+        .join(nodes.select(F.col("node").alias("b"), F.col("point").alias("q"), F.col("n").alias("m")), "b")
+        .select("a", "b", "p", "q", "n", "m"), bounded, "a long, b long")
     may = cut(may, "pairs")
 
     def packed(batch):
@@ -245,7 +263,7 @@ def _leaves(rows: DataFrame) -> DataFrame:
         "leaf", F.expr("pmod(xxhash64(node), leaves)"))
 
     def pack(found: pa.Table) -> pa.Table:
-        all_points = points(found.column("point").to_pylist()).astype("<u4")
+        all_points = np.array([counts_of(p, GROUPS) for p in found.column("point").to_pylist()], "<u4")
         blob = lambda name: found.column(name).to_numpy().astype(np.int64).tobytes()
         return pa.table({
             "list": found.column("list")[:1], "band": found.column("band")[:1],
