@@ -18,6 +18,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import words
@@ -35,7 +36,9 @@ FIT_DOCUMENTS, FIT_LEAST, FIT_SHINGLES = 8_192, 3, 100_000
 #: Shingles that a task compares at once, and points of a leaf.
 BUCKET_SHINGLES, LEAF = 1_000_000, 512
 #: Nodes up to which a list is compared as it is; a longer one is packed into leaves.
-SHORT_LIST = 32
+SHORT_LIST = 6
+#: Members of a longer list that all others are compared with before its leaves are.
+CENTRES = 8
 #: Document ids up to this number are sent to the scan of the texts; more are joined by shuffle.
 SENT_IDS = 1_000_000
 
@@ -316,8 +319,8 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
 
     Two documents link when 100 * intersection >= ``percent`` * union of their shingle sets;
     component_id is the least doc_id that links reach. In each list of nodes with a common first
-    shingle all are compared with the least node first, and joined into components. Only lists whose nodes are
-    then still apart go on: all their pairs across components are bounded by their points, and those
+    shingle all are compared with the least node first, and joined into components; in longer lists that
+    are still apart, with a few more. Only lists whose nodes are still apart go on: all their pairs across components are bounded by their points, and those
     in reach are compared. So no link between components is lost, and members of one need no pairs.
 
     A text with fewer words than a shingle is one shingle; a null text or one without words has an
@@ -343,12 +346,29 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     links = _verified(near, known, nodes, size, percent)
     roots = cut(components(links), "roots")
 
-    rooted = lists.join(roots, "node", "left").select(
-        "list", "node", "n", F.coalesce("root", "node").alias("root"))
-    apart = rooted.groupBy("list").agg(
-        F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members")
-    ).where("x <> y").select("list", "members")
-    open_ = cut(rooted.join(apart, "list"), "open")
+    def apart(of: DataFrame) -> DataFrame:
+        """Members of lists that still hold several components, with their root."""
+        rooted = of.join(roots, "node", "left").select(
+            "list", "node", "n", F.coalesce("root", "node").alias("root"))
+        still = rooted.groupBy("list").agg(
+            F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members")
+        ).where("x <> y").select("list", "members")
+        return cut(rooted.join(still, "list"), "apart")
+
+    def joined(more: DataFrame) -> DataFrame:
+        return cut(components(more.unionByName(
+            roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
+
+    open_ = apart(lists)
+    long = open_.where(F.col("members") > SHORT_LIST)
+    chance = W.partitionBy("list").orderBy(F.xxhash64("node"), "node")
+    centres = long.withColumn("_nth", F.row_number().over(chance)).where(F.col("_nth") <= CENTRES).select(
+        "list", F.col("node").alias("c"), F.col("n").alias("m"), F.col("root").alias("r"))
+    spokes = long.join(centres, "list").where(f"root <> r AND {near_size}").select(
+        F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+    spokes = cut(spokes, "spokes")
+    roots = joined(_verified(spokes, known, nodes, size, percent))
+    open_ = apart(open_.select("list", "node", "n"))
     short = open_.where(F.col("members") <= SHORT_LIST)
     other = short.select("list", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("r"))
     crossing = short.withColumnRenamed("node", "a").join(other, "list").where(
@@ -357,11 +377,9 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     long = open_.where(F.col("members") > SHORT_LIST).join(nodes.select("node", "point"), "node").withColumn(
         "band", F.floor(F.log("n") / F.lit(step) + F.lit(1e-9)))
     crossing = crossing.unionByName(_crossing(_leaves(long), percent)).distinct()
-    crossing = crossing.join(near, ["a", "b"], "left_anti")
+    crossing = crossing.join(near.union(spokes), ["a", "b"], "left_anti")
     more = _verified(crossing, known, nodes, size, percent)
-    if more.head():
-        roots = cut(components(more.unionByName(
-            roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
+    roots = joined(more)
 
     discard(lists, open_, nodes)
     placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

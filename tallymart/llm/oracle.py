@@ -1,3 +1,101 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
 
-ORACLE: dict[str, str] = {}
+Sharding and packing need crc32, which DuckDB has not; line dedup, the secret scan, the classifiers and
+the pipeline are tested against plain Python or held-out labels.
+"""
+
+from __future__ import annotations
+
+from .quality import STOP_WORDS
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+FIXITY = """
+SELECT page_id, 'missing' AS state, CAST(1 AS BIGINT) AS n FROM pages
+WHERE page_id % 1009 = 7 AND page_id % 1013 <> 11
+UNION ALL
+SELECT page_id, 'changed', 1 FROM pages
+WHERE page_id % 1009 <> 7 AND page_id % 997 = 5 AND page_id % 1013 <> 11
+UNION ALL
+SELECT page_id, 'changed', 1 FROM pages WHERE page_id % 1009 = 7 AND page_id % 1013 = 11
+UNION ALL
+SELECT page_id, 'missing', 1 FROM pages
+WHERE page_id % 1009 <> 7 AND page_id % 997 = 5 AND page_id % 1013 = 11
+UNION ALL
+SELECT page_id, 'extra', 1 FROM pages
+WHERE page_id % 1009 <> 7 AND page_id % 1013 = 11
+UNION ALL
+SELECT page_id, 'extra', 1 FROM pages
+WHERE page_id % 1009 <> 7 AND page_id % 997 = 5 AND page_id % 1013 = 11
+"""
+
+_STOP = ", ".join(f"'{w}'" for w in (*STOP_WORDS, *[w.capitalize() for w in STOP_WORDS]))
+
+QUALITY = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM p),
+r AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (
+        SELECT doc_id, unnest([i, i + 1, i + 2]) AS q FROM g WHERE c > 1) GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+         coalesce(n_repeat_words, 0) AS n_repeat_words,
+         CAST(len(list_filter(w, lambda x: x IN ({_STOP}))) AS BIGINT) AS n_stop_words
+  FROM d LEFT JOIN r USING (doc_id)),
+n AS (
+  SELECT doc_id, n_words, word_chars, n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, n_repeat_words,
+         n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         CAST(len(l) AS BIGINT) AS n_lines, n_stop_words FROM m),
+f AS (
+  SELECT *, concat_ws(',',
+    CASE WHEN word_chars / greatest(n_words, 1) < 2 OR word_chars / greatest(n_words, 1) > 12
+         THEN 'word_length' END,
+    CASE WHEN n_symbols / greatest(n_words, 1) > 0.1 THEN 'symbols' END,
+    CASE WHEN n_stop_words / greatest(n_words, 1) < 0.02 THEN 'stop_words' END,
+    CASE WHEN n_dup_lines / greatest(n_lines, 1) > 0.3 THEN 'repeated_lines' END) AS failed_rules
+  FROM n)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND failed_rules = '' AS kept, n_lines, n_stop_words, failed_rules FROM f
+"""
+
+_ALPHABETIC = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+DECONTAMINATION = rf"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{_ALPHABETIC}') AS w
+  FROM documents),
+bw AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{_ALPHABETIC}') AS w
+  FROM benchmark),
+b AS (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM bw WHERE len(w) > 0),
+phrases AS (
+  SELECT DISTINCT item, least(len(w), 13) AS size,
+         array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS phrase FROM b),
+sizes AS (SELECT DISTINCT size FROM phrases),
+x AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM dw, sizes WHERE len(w) >= size),
+hits AS (
+  SELECT doc_id, i, size, item FROM (
+    SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS phrase FROM x)
+  JOIN phrases USING (size, phrase)),
+n AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (
+        SELECT doc_id, unnest(range(i, i + size)) AS q FROM hits) GROUP BY doc_id),
+i AS (SELECT doc_id, count(DISTINCT item) AS n_items,
+             array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_merkle_fixity": FIXITY,
+    "op4_quality_rules": QUALITY,
+    "op10_benchmark_decontamination": DECONTAMINATION,
+}

@@ -1,0 +1,41 @@
+"""Registered corpus queries against their SQL, where there is one; and the pipeline's stages."""
+
+import os
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from tallymart.llm.oracle import ORACLE
+from tallymart.llm.queries import QUERIES
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    duck = duckdb.connect()
+    for file in Path(SF).glob("*.parquet"):
+        duck.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    result, expected = QUERIES[name](spark, SF), duck.execute(ORACLE[name])
+    columns = [d[0] for d in expected.description]
+    assert sorted(columns) == sorted(result.columns)
+    want = Counter(expected.fetchall())
+    assert Counter(map(tuple, result.select(*columns).collect())) == want
+
+
+def test_stages_of_odd_rows(spark, odd, none):
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, odd, SF)
+        assert kept.columns == odd.columns
+        assert {r.doc_id for r in kept.collect()} <= {r.doc_id for r in odd.collect()}
+        assert stage(spark, none, SF).count() == 0
+    ids = [r.doc_id for r in corpus_pipeline.ngram_jaccard(spark, odd, SF).collect()]
+    assert 15 not in ids and 16 not in ids and 6 not in ids
+    assert ids.count(9) == 1 and ids.count(5) == 1 and ids.count(4) == 2 and ids.count(None) == 2
+
+
+def test_pipeline_runs(spark):
+    assert corpus_pipeline.run(spark, SF).count() > 0
