@@ -13,6 +13,9 @@ RATE_CODES = (410, 430, 440, 450)
 RATE_CODES_WITH = (420, 840)
 DAYS_WITHOUT_RATES = (10, 20, 30)
 
+#: Partition of the messages that are sent again; all others are in partition 0.
+REPEATS = 1
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -121,8 +124,8 @@ def fx_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     once = tx.select(value.alias("value"), F.lit(0).alias("partition"),
                      F.col("event_id").alias("offset"))
     again = tx.where((F.col("event_id") % 10 == 0) & ~kind.between(1, 6)).select(
-        stated(repeated).alias("value"), F.lit(0).alias("partition"),
-        (F.col("event_id") + 10_000_000).alias("offset"))
+        stated(repeated).alias("value"), F.lit(REPEATS).alias("partition"),
+        F.col("event_id").alias("offset"))
     return once.unionByName(again)
 
 

@@ -57,15 +57,15 @@ CTES = {
         WHERE extract(day FROM day) NOT IN (10, 20, 30)"""),
     # kind 0 stands for a sound message; repeats exist of sound messages only
     "messages": ("fx_tx", f"""
-        SELECT *, event_id AS "offset",
+        SELECT *, 0 AS part, event_id AS "offset",
                CASE WHEN event_id % 97 BETWEEN 1 AND 6 THEN event_id % 97 ELSE 0 END AS kind,
                {_tx_payload()} AS sound_payload
         FROM fx_tx
         UNION ALL
-        SELECT *, event_id + 10000000, 0, {_tx_payload("'DUPLICATE'")}
+        SELECT *, 1, event_id, 0, {_tx_payload("'DUPLICATE'")}
         FROM fx_tx WHERE event_id % 10 = 0 AND event_id % 97 NOT BETWEEN 1 AND 6"""),
     "decoded": ("messages", """
-        SELECT CAST(0 AS INTEGER) AS "partition", "offset",
+        SELECT CAST(part AS INTEGER) AS "partition", "offset",
                CASE kind WHEN 2 THEN 'zz' WHEN 4 THEN NULL ELSE object_id END AS object_id,
                CASE WHEN kind <> 4 THEN 'TRANSACTION' END AS object_type,
                CASE kind WHEN 3 THEN '01.10.2022' WHEN 4 THEN NULL
@@ -78,7 +78,7 @@ CTES = {
         SELECT {_uuid("object_id")} AS object_id, 'TRANSACTION' AS object_type, sent_dttm,
                sound_payload AS payload, 'kafka-transaction-service-input' AS load_src,
                CAST(sent_dttm AS DATE) AS sent_date
-        FROM messages WHERE kind = 0 AND "offset" < 10000000
+        FROM messages WHERE kind = 0 AND part = 0
         UNION ALL
         SELECT {_uuid("id")}, 'CURRENCY', date_update + INTERVAL 5 MINUTE,
                json_object('date_update', strftime(date_update, '%Y-%m-%d %H:%M:%S'),
@@ -224,7 +224,7 @@ ORACLE = {
         WHERE object_type = 'TRANSACTION' AND CAST(sent_dttm AS DATE) = {DAY}"""),
     "extract_transactions": _with("messages", f"""
         SELECT {_uuid("object_id")} AS object_id, CAST(sent_dttm AS DATE) AS load_date, {TX_TEXT}
-        FROM messages WHERE kind = 0 AND "offset" < 10000000"""),
+        FROM messages WHERE kind = 0 AND part = 0"""),
     "extract_currencies": _with("fx_rates", f"""
         SELECT {_uuid("id")} AS object_id, day AS load_date,
                strftime(date_update, '%Y-%m-%d %H:%M:%S') AS date_update,

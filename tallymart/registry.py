@@ -51,7 +51,7 @@ def _ingested(spark, sf) -> Tables:
     """
     tables = Tables(scratch_path(spark, "ingest"))
     inbox = f"{tables.root}/inbox"
-    messages, repeat = fx.fx_all_messages(spark, sf), F.col("offset") >= 10_000_000
+    messages, repeat = fx.fx_all_messages(spark, sf), F.col("partition") == fx.REPEATS
     messages.where(~repeat).repartition(6).write.parquet(inbox)
     messages.where(repeat).repartition(2).write.mode("append").parquet(inbox)
     ingest_available(spark, files.file_messages(spark, inbox, files_per_batch=3), tables,

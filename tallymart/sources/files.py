@@ -35,10 +35,12 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
      .option("maxRecordsPerFile", rows_per_file).csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+             line_breaks: bool = True) -> DataFrame:
     """Typed rows; a value that does not fit its type fails the query.
 
-    ``multiLine`` is needed for line breaks inside quotes.
+    With ``line_breaks`` a field may hold one inside quotes, and each file is one task; without, files
+    of any size are split.
     """
     return (spark.read.schema(schema).options(**_CSV)
-            .option("multiLine", "true").option("mode", "FAILFAST").csv(path))
+            .option("multiLine", str(line_breaks).lower()).option("mode", "FAILFAST").csv(path))

@@ -7,6 +7,8 @@ from datetime import date, datetime, time, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FETCH_ROWS = 10_000
+
 
 def day_predicates(day: date, parts: int = 24) -> list[str]:
     """Conditions that cut a day of ``sent_dttm`` into equal spans, one read task each.
@@ -21,7 +23,12 @@ def day_predicates(day: date, parts: int = 24) -> list[str]:
 
 def jdbc_outbox_day(spark: SparkSession, url: str, table: str, day: date,
                     properties: dict[str, str], parts: int = 24) -> DataFrame:
-    """One day of the outbox, in the shape of the Parquet outbox."""
+    """One day of the outbox, in the shape of the Parquet outbox.
+
+    Rows are fetched FETCH_ROWS at a time unless ``properties`` say otherwise: some drivers else hold a
+    whole span in memory.
+    """
+    properties = {"fetchsize": str(FETCH_ROWS)} | properties
     rows = spark.read.option("preferTimestampNTZ", "true").jdbc(
         url, table, predicates=day_predicates(day, parts), properties=properties)
     return rows.select(

@@ -47,9 +47,13 @@ class KafkaAccess:
         return {**self.client_options(), "topic": self.topic}
 
 
+#: Messages of a batch at most: a topic read from its start comes in batches of this size.
+MAX_OFFSETS = 1_000_000
+
+
 def kafka_messages(spark: SparkSession, access: KafkaAccess,
-                   max_offsets: int | None = None) -> DataFrame:
-    """The topic as a stream of (value, partition, offset)."""
+                   max_offsets: int | None = MAX_OFFSETS) -> DataFrame:
+    """The topic as a stream of (value, partition, offset), bounded unless ``max_offsets`` is None."""
     return (spark.readStream.format("kafka").options(**access.source_options(max_offsets)).load()
             .select("value", "partition", "offset"))
 

@@ -5,6 +5,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.schemas import CURRENCIES, OUTBOX, TRANSACTIONS
 from tallymart.sources.files import read_csv, write_csv
@@ -113,3 +114,18 @@ def test_a_hot_partition_is_split_over_files(spark, tmp_path):
 
 def test_checkpoint_root_is_the_sessions(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_large_csv_is_read_by_several_tasks(spark, tmp_path):
+    path = f"{tmp_path}/large"
+    spark.range(300_000).selectExpr("id", "repeat('x', 20) AS filler").coalesce(1).write.csv(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("filler", T.StringType())])
+        split = read_csv(spark, path, schema, line_breaks=False)
+        assert split.rdd.getNumPartitions() > 3
+        assert split.agg({"id": "sum"}).head()[0] == sum(range(300_000))
+        assert read_csv(spark, path, schema).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
