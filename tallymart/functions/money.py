@@ -3,7 +3,8 @@
 Rates arrive as DOUBLE. Float sums depend on row order, and row order changes from run to run, so
 rates become decimals first. RATE (8 + 9 digits) times AMOUNT (20 digits) is exactly DECIMAL(38, 9):
 nothing is rounded until the one rounding to cents at the end, and a larger value raises an error
-instead of losing digits.
+instead of losing digits. A rate that RATE cannot hold exactly is kept to 18 places (WIDE_RATE), and
+its products to six.
 """
 
 from __future__ import annotations
@@ -14,15 +15,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 RATE = "decimal(17,9)"
+WIDE_RATE = "decimal(38,18)"
 AMOUNT = "decimal(20,0)"
 PRICE = "decimal(18,2)"
 
 
+def exact_rate(rate: Column) -> Column:
+    """The rate as RATE, NULL if that would change it."""
+    narrow = rate.try_cast(RATE)
+    return F.when(narrow.cast("double") == rate, narrow)
+
+
+def wide_rate(rate: Column) -> Column:
+    """The rate as WIDE_RATE where RATE would change it; NULL too if it is out of range or became 0."""
+    wide = rate.try_cast(WIDE_RATE)
+    return F.when(exact_rate(rate).isNull() & (wide != 0), wide)
+
+
 def converted(amount: Column, rate: Column) -> Column:
     """Minor units of the base currency, DECIMAL(38, 9)."""
     return amount.cast(AMOUNT) * rate.cast(RATE)
 
 
+def converted_wide(amount: Column, rate: Column) -> Column:
+    """The same for a WIDE_RATE, DECIMAL(38, 6)."""
+    return amount.cast(AMOUNT) * rate.cast(WIDE_RATE)
+
+
 def from_minor_units(total: Column) -> Column:
     """Divide by 100 and round half up to cents, in one rounding.
 
@@ -34,5 +53,11 @@ def from_minor_units(total: Column) -> Column:
                       F.raise_error(F.lit("turnover out of range")))
 
 
+def turnover(exact: Column, wide: Column) -> Column:
+    """Cents of the two parts of a total; without a wide part not a digit of the other is lost."""
+    exact = F.coalesce(exact, F.lit(Decimal(0)))
+    return F.when(wide.isNull(), from_minor_units(exact)).otherwise(from_minor_units(exact + wide))
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     return (numerator.cast("decimal(18,6)") / denominator).cast(PRICE)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import AMOUNT, RATE, converted, from_minor_units, ratio
+from ..functions.money import (
+    AMOUNT, converted, converted_wide, exact_rate, ratio, turnover, wide_rate,
+)
 from ..functions.time import on_days
 from ..schemas import BASE_CURRENCY, METRICS_KEY, METRICS_VALUES
 from .conversion import rates_on_day
@@ -14,15 +16,17 @@ from .ranking import done_on_day, drop_test_accounts, latest_status
 
 def metrics_of_rows(rows: DataFrame) -> DataFrame:
     """Metrics of converted payments (the output of ``union_branches``)."""
+    rate = F.col("currency_with_div")
     n, accounts = F.col("cnt_transactions"), F.col("cnt_accounts_make_transactions")
     return (
         rows.groupBy("date_update", F.col("currency_code").alias("currency_from"))
         .agg(
-            F.sum(converted(F.col("amount"), F.col("currency_with_div"))).alias("total"),
+            F.sum(converted(F.col("amount"), exact_rate(rate))).alias("total"),
+            F.sum(converted_wide(F.col("amount"), wide_rate(rate))).alias("wide_total"),
             F.count(F.lit(1)).alias("cnt_transactions"),
             F.count_distinct("account_number_from").alias("cnt_accounts_make_transactions"),
         )
-        .select(*METRICS_KEY, from_minor_units(F.col("total")).alias("amount_total"),
+        .select(*METRICS_KEY, turnover(F.col("total"), F.col("wide_total")).alias("amount_total"),
                 n, ratio(n, accounts).alias("avg_transactions_per_account"), accounts)
     )
 
@@ -35,7 +39,7 @@ def metrics_of_sums(done: DataFrame, rates: DataFrame, base: int = BASE_CURRENCY
     join sees one row per day and currency on either side, already partitioned on the join key: no
     payment is copied or shuffled for the join, nothing has to be broadcast, and a currency with
     most of the payments shrinks inside the map tasks. The sums are decimals, so the result is equal
-    to the row-level form, also for several rates of one pair and for a rate from base to base.
+    to the row-level form (but for the seventh place of wide rates' products), also for several rates of one pair and for a rate from base to base.
     """
     keys = ["date_update", "currency_code"]
     sums = done.groupBy(*keys).agg(
@@ -44,7 +48,8 @@ def metrics_of_sums(done: DataFrame, rates: DataFrame, base: int = BASE_CURRENCY
         F.count_distinct("account_number_from").alias("cnt_accounts_make_transactions"),
     )
     factors = rates.where(F.col("currency_code_with") == base).groupBy(*keys).agg(
-        F.sum(F.col("currency_with_div").cast(RATE)).alias("rate"),
+        F.sum(exact_rate(F.col("currency_with_div"))).alias("rate"),
+        F.sum(wide_rate(F.col("currency_with_div"))).alias("wide_rate"),
         F.count(F.lit(1)).alias("n_rates"),
     )
     own = F.when(F.col("currency_code") == base, 1).otherwise(0)
@@ -56,7 +61,8 @@ def metrics_of_sums(done: DataFrame, rates: DataFrame, base: int = BASE_CURRENCY
         .where("n_rates > 0")
         .withColumn("cnt_transactions", F.col("n_payments") * F.col("n_rates"))
         .select("date_update", F.col("currency_code").alias("currency_from"),
-                from_minor_units(converted(F.col("amount"), F.col("rate"))).alias("amount_total"),
+                turnover(converted(F.col("amount"), F.col("rate")),
+                         converted_wide(F.col("amount"), F.col("wide_rate"))).alias("amount_total"),
                 n, ratio(n, accounts).alias("avg_transactions_per_account"), accounts)
     )
 

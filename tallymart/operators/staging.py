@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import RATE
+from ..functions.money import exact_rate, wide_rate
 from ..functions.text import canonical_uuid, json_texts, number_text
 from ..functions.time import cut_to_second, on_days
 from ..schemas import CURRENCIES, CURRENCY, TRANSACTION, TRANSACTIONS
@@ -58,7 +58,7 @@ def _typed_column(name: str, data_type: str):
 def row_contract(extracted: DataFrame, schema, strict: bool = False) -> DataFrame:
     """Cast every field of ``schema``; ``reason`` names the first one that is missing or unfit.
 
-    A rate must also fit the decimal type the mart computes with. With ``strict`` the first bad row
+    A rate must also fit a decimal type the mart computes with, and not become 0 in it. With ``strict`` the first bad row
     fails the query; otherwise it stays, marked, for ``valid_rows`` and ``invalid_rows`` to split.
     """
     typed = extracted.select(
@@ -67,7 +67,8 @@ def row_contract(extracted: DataFrame, schema, strict: bool = False) -> DataFram
     )
     faults = [F.when(F.col(name).isNull(), f"bad:{name}") for name in schema.names]
     if "currency_with_div" in schema.names:
-        faults.append(F.when(F.col("currency_with_div").try_cast(RATE).isNull(),
+        rate = F.col("currency_with_div")
+        faults.append(F.when(exact_rate(rate).isNull() & wide_rate(rate).isNull(),
                              "bad:currency_with_div"))
     reason = F.coalesce(*faults)
     if strict:

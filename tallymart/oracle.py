@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from .schemas import LOAD_SRC, TRANSACTIONS
+
 DAY, MART_FROM = "DATE '2024-01-15'", "DATE '2024-01-08'"
 
-TX_COLUMNS = ["operation_id", "account_number_from", "account_number_to", "currency_code", "country",
-              "status", "transaction_type", "amount", "transaction_dt"]
+TX_COLUMNS = TRANSACTIONS.names
 TX = ", ".join(TX_COLUMNS)
 RATE = "date_update, currency_code, currency_code_with, currency_with_div"
 
@@ -76,7 +77,7 @@ CTES = {
         FROM messages"""),
     "outbox": ("messages, fx_rates", f"""
         SELECT {_uuid("object_id")} AS object_id, 'TRANSACTION' AS object_type, sent_dttm,
-               sound_payload AS payload, 'kafka-transaction-service-input' AS load_src,
+               sound_payload AS payload, '{LOAD_SRC}' AS load_src,
                CAST(sent_dttm AS DATE) AS sent_date
         FROM messages WHERE kind = 0 AND part = 0
         UNION ALL
@@ -85,7 +86,7 @@ CTES = {
                            'currency_code', currency_code,
                            'currency_code_with', currency_code_with,
                            'currency_with_div', currency_with_div)::VARCHAR,
-               'kafka-transaction-service-input', day
+               '{LOAD_SRC}', day
         FROM (SELECT *, md5('rate' || currency_code || '-' || currency_code_with || '-' || day) AS id
               FROM fx_rates) AS r"""),
     # transactions that come through the stream and the both-present gate
@@ -198,12 +199,12 @@ ORACLE = {
         SELECT "partition", "offset", CASE WHEN kind NOT IN (2, 4) THEN {_uuid("sound_id")} END
                  AS object_id,
                object_type, CASE WHEN kind NOT IN (3, 4) THEN sent_at END AS sent_dttm, payload,
-               {FULL_REASON}, 'kafka-transaction-service-input' AS load_src,
+               {FULL_REASON}, '{LOAD_SRC}' AS load_src,
                CASE WHEN kind NOT IN (3, 4) THEN CAST(sent_at AS DATE) END AS sent_date
         FROM decoded"""),
     "bounded_batches": _with("outbox", "SELECT * FROM outbox"),
     "message_rejects": _with("decoded", f"""
-        SELECT "partition", "offset", {FULL_REASON},
+        SELECT '' AS topic, "partition", "offset", {FULL_REASON},
                CASE kind WHEN 4 THEN 'not json'
                     WHEN 1 THEN json_object('object_id', object_id, 'object_type', object_type,
                                             'sent_dttm', sent_dttm)::VARCHAR
@@ -263,7 +264,10 @@ ORACLE = {
     "key_violations_currencies": _with("fx_rates", f"""
         SELECT date_update, currency_code, currency_code_with, CAST(2 AS BIGINT) AS n_rows
         FROM fx_rates WHERE day = {DAY}"""),
-    "staging_layout": _with("tx_staging", f"{STAGED} tx_staging"),
+    "staging_layout": _with("tx_staging", """
+        SELECT load_date, event_date, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_misplaced,
+               CAST(0 AS BIGINT) AS n_unordered
+        FROM tx_staging GROUP BY load_date, event_date"""),
     "bookmark_read": _with("bookmarks, outbox", """
         SELECT workflow_key, date_to_load FROM bookmarks WHERE workflow_key = 'click'
         UNION ALL
@@ -273,7 +277,11 @@ ORACLE = {
         UNION ALL
         SELECT k, CAST(min(ts) AS DATE) + 1 FROM events
                CROSS JOIN (VALUES ('click'), ('never_run')) AS keys(k) GROUP BY k"""),
-    "import_day": _with("imported", f"{STAGED} imported"),
+    "import_days": _with("imported", f"{STAGED} imported"),
+    "import_day": _with("imported, outbox", f"""
+        {STAGED} imported WHERE load_date < (SELECT min(sent_date) + 11 FROM outbox)"""),
+    "import_day_bookmark": _with("outbox", """
+        SELECT 'outbox_to_staging' AS workflow_key, min(sent_date) + 11 AS date_to_load FROM outbox"""),
     "import_days_currencies": _with("fx_rates", f"""
         SELECT {RATE}, day AS load_date, day AS event_date FROM fx_rates"""),
     "import_rejects": _with("odd", """
@@ -312,5 +320,9 @@ ORACLE = {
                CAST(min(transaction_dt) AS DATE) + 1 AS date_to_load
         FROM tx_staging"""),
     "backfill_range": _with("metrics", "SELECT * FROM metrics"),
+    "backfill_stored_mart": _with("metrics, metrics_minus_one", f"""
+        SELECT {METRICS} FROM metrics WHERE date_update >= {DAY}
+        UNION ALL
+        SELECT {METRICS} FROM metrics_minus_one WHERE date_update < {DAY}"""),
     "messages_to_mart": _with("metrics_imported", "SELECT * FROM metrics_imported"),
 }

@@ -59,14 +59,20 @@ def _load(outbox: DataFrame, tables: Tables, kind: str, days: list[date], n_mess
 
 
 def import_days(spark: SparkSession, tables: Tables, first: date, last: date,
-                strict: bool = False) -> ImportResult:
+                strict: bool = False, clear_skipped: bool = False,
+                outbox: DataFrame | None = None) -> ImportResult:
     """Load all days from ``first`` to ``last`` in one job per table; a rerun changes nothing.
 
     The days that pass the gate become a list in the plan (no longer than the range has days), so
     that only their outbox partitions are read. Staging is partitioned by the day of loading: a
     rerun replaces what that load wrote, and rows of the same event day from other loads stay.
+
+    What an earlier load staged for a day that is now skipped, or no longer in the outbox, stays as
+    well, unless ``clear_skipped`` asks for it to go. ``outbox`` may come from elsewhere, such as a
+    database read day by day; by default it is the stored table.
     """
-    outbox = read_table(spark, tables.outbox, OUTBOX)  # one list of files for counts and rows
+    if outbox is None:
+        outbox = read_table(spark, tables.outbox, OUTBOX)  # one list of files for counts and rows
     in_range = outbox.where(on_days(F.col("sent_date"), first, last))
     days = both_present_gate(day_counts(in_range)).orderBy("sent_date").collect()
     loaded = [row.sent_date for row in days if row.loaded]
@@ -75,7 +81,10 @@ def import_days(spark: SparkSession, tables: Tables, first: date, last: date,
                   CURRENCY: sum(row.n_currencies for row in days if row.loaded)}
     log.info("from %s to %s: %s messages in %d days; skipped %s", first, last, n_messages,
              len(loaded), skipped)
-    scope = on_days(F.col("load_date"), first, last)
+    if not loaded and not clear_skipped:
+        return ImportResult(loaded, skipped, 0)
+    load_date = F.col("load_date")
+    scope = on_days(load_date, first, last) if clear_skipped else load_date.isin(loaded)
     rejects = sum(_load(outbox, tables, kind, loaded, n_messages[kind], scope, strict)
                   for kind in _KINDS)
     log.info("%d payloads broke the row contract", rejects)

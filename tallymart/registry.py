@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
@@ -22,12 +22,17 @@ from .sources.tables import Tables, append_rows, read_table, replace_scope, scra
 from .streaming.ingest import ingest_available
 
 DAY = date(2024, 1, 15)
-FIRST, LAST = date(2024, 1, 1), date(2024, 2, 29)
+DAILY_RUNS = 11
 TEXT_ENVELOPE = ["partition", "offset", "object_id", "object_type", "sent_dttm", "payload", "reason"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _span(df: DataFrame, day: str) -> tuple[date, date]:
+    """The first and the last day of the data."""
+    return tuple(df.agg(F.min(day), F.max(day)).first())
+
+
 # --- ingest --------------------------------------------------------------------------------
 
 def decode_envelope(spark, sf):
@@ -93,12 +98,12 @@ def outbox_day_slice(spark, sf):
 
 
 def extract_transactions(spark, sf):
-    rows = staging.outbox_day_slice(fx.fx_outbox(spark, sf), TRANSACTION, FIRST, LAST)
+    rows = staging.outbox_day_slice(fx.fx_outbox(spark, sf), TRANSACTION, None)
     return staging.extract_transactions(rows).drop("payload")
 
 
 def extract_currencies(spark, sf):
-    rows = staging.outbox_day_slice(fx.fx_outbox(spark, sf), CURRENCY, FIRST, LAST)
+    rows = staging.outbox_day_slice(fx.fx_outbox(spark, sf), CURRENCY, None)
     return staging.extract_currencies(rows).drop("payload")
 
 
@@ -140,9 +145,10 @@ def staging_load(spark, sf):
     half = F.expr("INTERVAL 0.5 SECOND")
     rows = staging.staged_transactions(
         fx.tx_staging(spark, sf).withColumn("transaction_dt", F.col("transaction_dt") + half))
+    first, last = _span(rows, "load_date")
     for _ in range(2):
         replace_scope(rows, path, STAGED_TRANSACTIONS, ["load_date", "event_date"],
-                      on_days(F.col("load_date"), FIRST, LAST), ["transaction_dt"])
+                      on_days(F.col("load_date"), first, last), ["transaction_dt"])
     return read_table(spark, path, STAGED_TRANSACTIONS)
 
 
@@ -160,9 +166,21 @@ def key_violations_currencies(spark, sf):
 
 
 def staging_layout(spark, sf):
+    """Rows per folder, those whose own day is another, and those before an earlier row of their file."""
     path = scratch_path(spark, "layout")
     append_rows(fx.tx_staging(spark, sf), path, ["load_date", "event_date"], ["transaction_dt"])
-    return read_table(spark, path, STAGED_TRANSACTIONS)
+    in_file = Window.partitionBy("file").orderBy("at")
+    return (
+        read_table(spark, path, STAGED_TRANSACTIONS)
+        .select("transaction_dt", F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.row_index").alias("at"))
+        .withColumn("load_date", F.regexp_extract("file", "/load_date=([^/]+)/", 1).cast("date"))
+        .withColumn("event_date", F.regexp_extract("file", "/event_date=([^/]+)/", 1).cast("date"))
+        .withColumn("before", F.lag("transaction_dt").over(in_file))
+        .groupBy("load_date", "event_date")
+        .agg(F.count(F.lit(1)).alias("n_rows"),
+             F.count_if(F.to_date("transaction_dt") != F.col("event_date")).alias("n_misplaced"),
+             F.count_if(F.col("before") > F.col("transaction_dt")).alias("n_unordered")))
 
 
 def _bookmarks(spark, sf):
@@ -189,10 +207,28 @@ def _imported(spark, sf) -> Tables:
     tables = Tables(scratch_path(spark, "import"))
     append_rows(fx.fx_outbox(spark, sf), tables.outbox, ["sent_date"],
                 ["object_type", "sent_dttm"])
-    import_day.import_days(spark, tables, FIRST, LAST)
+    import_day.import_days(spark, tables, *_span(fx.fx_outbox(spark, sf), "sent_date"))
+    return tables
+
+
+def _imported_daily(spark, sf) -> Tables:
+    """The daily job run from an empty bookmark; one of the days has no rates."""
+    tables = Tables(scratch_path(spark, "import"))
+    append_rows(fx.fx_outbox(spark, sf), tables.outbox, ["sent_date"],
+                ["object_type", "sent_dttm"])
+    for _ in range(DAILY_RUNS):
+        import_day.import_day(spark, tables)
     return tables
 
 
+def import_day_runs(spark, sf):
+    return read_table(spark, _imported_daily(spark, sf).transactions, STAGED_TRANSACTIONS)
+
+
+def import_day_bookmark(spark, sf):
+    return read_table(spark, _imported_daily(spark, sf).bookmarks, BOOKMARKS)
+
+
 def import_days(spark, sf):
     return read_table(spark, _imported(spark, sf).transactions, STAGED_TRANSACTIONS)
 
@@ -205,8 +241,9 @@ def import_rejects(spark, sf):
     """Import of broken payloads: what is set aside."""
     tables = Tables(scratch_path(spark, "rejects"))
     rates = fx.fx_outbox(spark, sf).where(F.col("object_type") == CURRENCY)
-    append_rows(fx.fx_odd_outbox(spark, sf).unionByName(rates), tables.outbox, ["sent_date"])
-    import_day.import_days(spark, tables, FIRST, LAST)
+    rows = fx.fx_odd_outbox(spark, sf).unionByName(rates)
+    append_rows(rows, tables.outbox, ["sent_date"])
+    import_day.import_days(spark, tables, *_span(rows, "sent_date"))
     return read_table(spark, tables.staging_rejects, STAGING_REJECTS).drop("payload")
 
 
@@ -281,7 +318,7 @@ def merge_metrics(spark, sf):
     tx, rates = fx.tx_staging(spark, sf), fx.rates_staging(spark, sf)
     mart = metrics.global_metrics(tx, rates, rule="minus_one").where(
         F.col("date_update") <= F.lit(DAY))
-    return metrics.merge_metrics(mart, metrics.global_metrics(tx, rates, date(2024, 1, 8), LAST))
+    return metrics.merge_metrics(mart, metrics.global_metrics(tx, rates, date(2024, 1, 8)))
 
 
 def update_datamart_day(spark, sf):
@@ -302,15 +339,26 @@ def update_datamart_bookmark(spark, sf):
 def backfill_range(spark, sf):
     """All days in one pass, over staging that holds every load."""
     tables = _stage(spark, sf, scratch_path(spark, "mart"))
-    datamart.backfill_range(spark, tables, FIRST, LAST)
+    datamart.backfill_range(spark, tables, *_span(fx.tx_staging(spark, sf), "event_date"))
+    return read_table(spark, tables.global_metrics, GLOBAL_METRICS)
+
+
+def backfill_stored_mart(spark, sf):
+    """A stored mart of all days by another rule, merged with its recomputation: rows change and go."""
+    tables = _stage(spark, sf, scratch_path(spark, "mart"))
+    days = _span(fx.tx_staging(spark, sf), "event_date")
+    datamart.backfill_range(spark, tables, *days, rule="minus_one")
+    datamart.backfill_range(spark, tables, DAY, days[1], delete_missing=True)
     return read_table(spark, tables.global_metrics, GLOBAL_METRICS)
 
 
 def messages_to_mart(spark, sf):
     """The whole pipeline: stream, import, mart."""
     tables = _ingested(spark, sf)
-    import_day.import_days(spark, tables, FIRST, LAST)
-    datamart.backfill_range(spark, tables, FIRST, LAST)
+    sent = _span(read_table(spark, tables.outbox, OUTBOX), "sent_date")
+    import_day.import_days(spark, tables, *sent)
+    staged = _span(read_table(spark, tables.transactions, STAGED_TRANSACTIONS), "event_date")
+    datamart.backfill_range(spark, tables, *staged)
     return read_table(spark, tables.global_metrics, GLOBAL_METRICS)
 
 
@@ -321,11 +369,12 @@ QUERIES: dict[str, Query] = {
         oldest_outbox_day, outbox_day_slice, extract_transactions, extract_currencies,
         row_contract, both_present_gate, csv_interchange, csv_interchange_currencies,
         staging_load, key_violations, key_violations_currencies, staging_layout, bookmark_read,
-        bookmark_upsert, import_days_currencies, import_rejects,
+        bookmark_upsert, import_days, import_day_bookmark, import_days_currencies, import_rejects,
         oldest_staging_day, drop_test_accounts, latest_status, latest_status_since, done_on_day,
         rates_on_day, convert_to_base, convert_to_base_salted, base_currency_rows, union_branches,
         global_metrics, global_metrics_minus_one, global_metrics_by_rows, merge_metrics,
-        update_datamart_day, update_datamart_bookmark, backfill_range, messages_to_mart,
+        update_datamart_day, update_datamart_bookmark, backfill_range, backfill_stored_mart,
+        messages_to_mart,
     )
 }
-QUERIES["import_day"] = import_days
+QUERIES["import_day"] = import_day_runs

@@ -33,6 +33,7 @@ OUTBOX = T.StructType([
 ])
 
 MESSAGE_REJECTS = T.StructType([
+    T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
     T.StructField("value", T.StringType()),

@@ -53,9 +53,9 @@ MAX_OFFSETS = 1_000_000
 
 def kafka_messages(spark: SparkSession, access: KafkaAccess,
                    max_offsets: int | None = MAX_OFFSETS) -> DataFrame:
-    """The topic as a stream of (value, partition, offset), bounded unless ``max_offsets`` is None."""
+    """The topic as a stream of (value, topic, partition, offset), bounded unless ``max_offsets`` is None."""
     return (spark.readStream.format("kafka").options(**access.source_options(max_offsets)).load()
-            .select("value", "partition", "offset"))
+            .select("value", "topic", "partition", "offset"))
 
 
 def kafka_sink_encode(df: DataFrame) -> DataFrame:

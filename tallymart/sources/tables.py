@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Fixed value: Spark's folder name for a null partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class Tables:
     """Paths of the pipeline's tables under one root."""
@@ -126,11 +130,16 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
      .partitionBy(*partition_by).parquet(path))
 
 
-def clear_partition(spark: SparkSession, path: str, schema: T.StructType, values: dict) -> None:
-    """Empty one partition, by overwriting its folder with no rows."""
-    folder = "/".join(f"{name}={value}" for name, value in values.items())
-    data = T.StructType([f for f in schema.fields if f.name not in values])
-    spark.createDataFrame([], data).write.mode("overwrite").parquet(f"{path}/{folder}")
+def drop_partitions(spark: SparkSession, path: str, partition_by: Sequence[str],
+                    partitions: Sequence[tuple]) -> None:
+    """Delete the folders of partitions, through the file system alone: no job, and no file stays."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for values in partitions:
+        folder = "/".join(f"{name}={NO_VALUE if value is None else value}"
+                          for name, value in zip(partition_by, values))
+        target = hadoop.Path(f"{path}/{folder}")
+        target.getFileSystem(conf).delete(target, True)
 
 
 def _filled_partitions(spark: SparkSession, path: str, schema: T.StructType,
@@ -153,9 +162,9 @@ def replace_scope(
 ) -> int:
     """Make ``df`` the whole content of the partitions that match ``scope``; returns their rows.
 
-    ``replace_partitions`` leaves alone what gets no row; such partitions in scope are emptied
+    ``replace_partitions`` leaves alone what gets no row; such partitions in scope are deleted
     afterwards. They are told by their file names, which change with every write. The lists are no
-    longer than the number of partitions. Without ``df`` (give ``spark`` then) all are emptied.
+    longer than the number of partitions. Without ``df`` (give ``spark`` then) all are deleted.
     """
     spark = spark or df.sparkSession
     where = (spark, path, schema, list(partition_by), scope)
@@ -166,6 +175,5 @@ def replace_scope(
         replace_partitions(df.select(*schema.names), path, partition_by, sort_by)
         after = _filled_partitions(*where)
     stale = [values for values, found in before.items() if after.get(values) == found]
-    for values in stale:
-        clear_partition(spark, path, schema, dict(zip(partition_by, values)))
+    drop_partitions(spark, path, partition_by, stale)
     return sum(rows for values, (_, rows) in after.items() if values not in stale)

@@ -20,7 +20,7 @@ log = logging.getLogger(__name__)
 def store_batch(batch: DataFrame, tables: Tables) -> None:
     """Add one batch to the outbox and the reject table.
 
-    Both writes skip what is stored already, by object id and by (partition, offset), so a batch that
+    Both writes skip what is stored already, by object id and by (topic, partition, offset), so a batch that
     is run again after a failure, or a topic read again from its start, changes nothing.
 
     Files are sorted by type, so that an import of rates skips the row groups of transactions.
@@ -39,7 +39,7 @@ def store_batch(batch: DataFrame, tables: Tables) -> None:
             append_rows(new.select(*OUTBOX.names), tables.outbox, ["sent_date"],
                         ["object_type", "sent_dttm"])
         if n_rejected:
-            position = ("partition", "offset")
+            position = ("topic", "partition", "offset")
             bad = insert_if_absent(
                 rejected(typed), read_table(spark, tables.message_rejects, MESSAGE_REJECTS),
                 keys=position, order=position, batch_rows=n_rejected)
@@ -50,7 +50,7 @@ def store_batch(batch: DataFrame, tables: Tables) -> None:
 
 def start_ingest(messages: DataFrame, tables: Tables, checkpoint: str,
                  once: bool = False, interval: str = BATCH_INTERVAL) -> StreamingQuery:
-    """Run ``messages`` (value, partition, offset) into the outbox.
+    """Run ``messages`` (value, partition, offset, and topic if there are several) into the outbox.
 
     The source's options bound a batch; ``once`` works off what is there and stops, otherwise a batch
     starts every ``interval``. One query per outbox: two writers could both find a key absent.

@@ -16,7 +16,7 @@ from tallymart.schemas import (
     CURRENCIES, CURRENCY, OUTBOX, STAGED_CURRENCIES, STAGED_TRANSACTIONS, STAGING_REJECTS,
     TRANSACTION, TRANSACTIONS,
 )
-from tallymart.sources.tables import Tables, append_rows, read_table
+from tallymart.sources.tables import Tables, append_rows, read_table, replace_scope
 
 OP = "3f2504e0-4f89-11d3-9a0c-0305e82c3301"
 TX = {"operation_id": OP, "account_number_from": 1, "account_number_to": 2, "currency_code": 430,
@@ -70,7 +70,7 @@ def test_refused_values(spark, name, value):
 
 @pytest.mark.parametrize("rate,good", [
     (1.07, True), ("1.07", True), (1, True), (0.000001234, True), ("NaN", False), ("1d", False),
-    (1e30, False), (None, False),
+    (1e30, False), (None, False), (4e-10, True), (2.5e8, True), (1e-19, False), (0, True),
 ])
 def test_rates(spark, rate, good):
     rows = extract_currencies(outbox(spark, [(CURRENCY, D1, {**RATE, "currency_with_div": rate})]))
@@ -185,12 +185,39 @@ def test_rerun_clears_what_is_gone(spark, tables):
     assert staged(spark, tables) == [(D1, D1, "done"), (D3, D3, "done")]
     outbox(spark, [(TRANSACTION, D3, TX)]).drop("sent_date").write.mode("overwrite").parquet(
         f"{tables.outbox}/sent_date={D3}")
-    result = import_days(spark, tables, D3, D3)
+    import_days(spark, tables, D3, D3)
+    assert staged(spark, tables) == [(D1, D1, "done"), (D3, D3, "done")]
+    result = import_days(spark, tables, D3, D3, clear_skipped=True)
     assert result.loaded == [] and result.skipped == [D3]
     assert staged(spark, tables) == [(D1, D1, "done")]
     assert read_table(spark, tables.currencies, STAGED_CURRENCIES).count() == 1
 
 
+def test_jobs_do_not_grow_with_cleared_partitions(spark, tmp_path):
+    """Partitions that get no row are deleted without a job or a file for each."""
+    jobs = []
+    for n in (2, 20):
+        path = str(tmp_path / str(n))
+        rows = spark.range(n).select(F.expr("CAST(id AS STRING)").alias("v"),
+                                     F.date_add(F.lit(D1), F.col("id").cast("int")).alias("load_date"))
+        schema = rows.schema
+        replace_scope(rows, path, schema, ["load_date"], F.lit(True))
+        spark.sparkContext.setJobGroup(f"clear-{n}", "")
+        assert replace_scope(rows.limit(1), path, schema, ["load_date"], F.lit(True)) == 1
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"clear-{n}")))
+        spark.sparkContext.setJobGroup("", "")
+        assert len(list((tmp_path / str(n)).glob("load_date=*"))) == 1
+        assert read_table(spark, path, schema).count() == 1
+    assert jobs[1] <= jobs[0] + 1
+
+
+def test_outbox_from_elsewhere(spark, tmp_path):
+    tables = Tables(str(tmp_path))
+    rows = outbox(spark, [(TRANSACTION, D1, TX), (CURRENCY, D1, RATE)])
+    assert import_days(spark, tables, D1, D1, outbox=rows).loaded == [D1]
+    assert staged(spark, tables) == [(D1, D1, "done")]
+
+
 def test_strict_import_writes_nothing(spark, tables):
     with pytest.raises(Exception, match="bad:amount"):
         import_days(spark, tables, D1, D1, strict=True)

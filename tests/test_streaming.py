@@ -92,6 +92,16 @@ def test_running_query_picks_up_new_files(spark, tmp_path):
     assert stored(spark, tables) == (WANT, REJECTS)
 
 
+def test_same_position_in_two_topics(spark, tmp_path):
+    tables = Tables(str(tmp_path))
+    rows = spark.createDataFrame([("not json", "a", 0, 5), ("not json", "b", 0, 5)],
+                                 "value string, topic string, partition int, offset long")
+    for _ in range(2):
+        store_batch(rows, tables)
+    rejects = read_table(spark, tables.message_rejects, MESSAGE_REJECTS).collect()
+    assert sorted((row.topic, row.partition, row.offset) for row in rejects) == [("a", 0, 5), ("b", 0, 5)]
+
+
 def test_batch_run_again_after_half_of_it_was_stored(spark, tmp_path):
     tables = Tables(str(tmp_path))
     store_batch(spark.createDataFrame(FIRST[:1], MESSAGES), tables)
