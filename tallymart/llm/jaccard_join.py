@@ -255,23 +255,25 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
     return links
 
 
-def _leaves(rows: DataFrame) -> DataFrame:
-    """Points (list, node, root, point) packed into leaves of near sizes, each with its box.
+def _leaves(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members (list, band, node, root) with their points packed into leaves, each with its box.
 
     A size band spans one step of the threshold, so partners are in the same or the next band; a
-    band with more than LEAF points is dealt over several leaves by hash.
+    band with more than LEAF points is dealt over several leaves by hash. Points join last, as they
+    are wide, and a leaf keeps a byte for a count where that holds all of its counts.
     """
     ids = rows.groupBy("list", "band").agg(F.ceil(F.count("*") / F.lit(LEAF)).alias("leaves"))
     dealt = rows.join(ids, ["list", "band"]).withColumn(
-        "leaf", F.expr("pmod(xxhash64(node), leaves)"))
+        "leaf", F.expr("pmod(xxhash64(node), leaves)")).join(nodes.select("node", "point"), "node")
 
     def pack(found: pa.Table) -> pa.Table:
         all_points = np.array([counts_of(p, GROUPS) for p in found.column("point").to_pylist()], "<u4")
+        kept = all_points if all_points.max() > 255 else all_points.astype(np.uint8)
         blob = lambda name: found.column(name).to_numpy().astype(np.int64).tobytes()
         return pa.table({
             "list": found.column("list")[:1], "band": found.column("band")[:1],
             "leaf": found.column("leaf")[:1], "nodes": [blob("node")], "roots": [blob("root")],
-            "points": [all_points.tobytes()], "box": [all_points.max(0).tobytes()],
+            "points": [kept.tobytes()], "box": [all_points.max(0).tobytes()],
             "least": [int(all_points.sum(1, dtype=np.int64).min())]})
 
     return dealt.select("list", "band", "leaf", "node", "root", "point").groupBy(
@@ -290,16 +292,19 @@ def _crossing(leaves: DataFrame, percent: int) -> DataFrame:
     met = left.join(right, "list").where(
         "r_band = l_band + 1 OR (r_band = l_band AND r_leaf >= l_leaf)")
 
+    def leaf_points(blob, members):
+        kind = np.uint8 if len(blob) == members * GROUPS else "<u4"
+        return np.frombuffer(blob, kind).reshape(-1, GROUPS).astype(np.int32)
+
     def compare(batch):
         a_all, b_all = [], []
         for row in batch.to_pylist():
             boxes = np.minimum(*(np.frombuffer(row[f"{s}_box"], "<u4") for s in "lr")).sum()
             if boxes < needed(np.int64(row["l_least"]), np.int64(row["r_least"]), percent):
                 continue
-            (p, q), (a, b), (x, y) = (
-                [np.frombuffer(row[f"{s}_{name}"], kind) for s in "lr"]
-                for name, kind in (("points", "<u4"), ("nodes", np.int64), ("roots", np.int64)))
-            p, q = p.reshape(-1, GROUPS).astype(np.int32), q.reshape(-1, GROUPS).astype(np.int32)
+            (a, b), (x, y) = ([np.frombuffer(row[f"{s}_{name}"], np.int64) for s in "lr"]
+                              for name in ("nodes", "roots"))
+            p, q = (leaf_points(row[f"{s}_points"], len(ids)) for s, ids in (("l", a), ("r", b)))
             q_size = q.sum(1, dtype=np.int64)
             for i in range(len(p)):
                 overlap = np.minimum(p[i], q).sum(1, dtype=np.int64)
@@ -374,9 +379,9 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     crossing = short.withColumnRenamed("node", "a").join(other, "list").where(
         f"a < b AND root <> r AND {near_size}").select("a", "b")
     step = math.log(100 / percent)
-    long = open_.where(F.col("members") > SHORT_LIST).join(nodes.select("node", "point"), "node").withColumn(
+    long = open_.where(F.col("members") > SHORT_LIST).withColumn(
         "band", F.floor(F.log("n") / F.lit(step) + F.lit(1e-9)))
-    crossing = crossing.unionByName(_crossing(_leaves(long), percent)).distinct()
+    crossing = crossing.unionByName(_crossing(_leaves(long, nodes), percent)).distinct()
     crossing = crossing.join(near.union(spokes), ["a", "b"], "left_anti")
     more = _verified(crossing, known, nodes, size, percent)
     roots = joined(more)
