@@ -276,7 +276,7 @@ def done_on_day(spark, sf):
 
 
 def rates_on_day(spark, sf):
-    return conversion.rates_on_day(fx.rates_staging(spark, sf), FIRST, DAY)
+    return conversion.rates_on_day(fx.rates_staging(spark, sf), None, DAY)
 
 
 def convert_to_base(spark, sf):
