@@ -1,9 +1,11 @@
-"""Line deduplication: winnowed line hashes as fingerprints, matches extended, later runs deleted.
-
-A window is the shortest stretch of lines from some line on that has MIN_WORDS words. Its least line
-hash is its fingerprint, so a repeated run with that many words has a fingerprint in both places. The
-window's whole content is joined with it: then the first place in the corpus is a true partner, however
-common the line alone is, and every later place needs one partner only.
+"""Line deduplication: winnowed line hashes as fingerprints, repeated windows joined to runs, later runs deleted.
+
+A window is the shortest stretch of lines from some line on, or up to some line, that has MIN_WORDS words.
+Its least line hash is its fingerprint, so a repeated run with that many words has a fingerprint in both
+places. The window's whole content is joined with it: then the first place in the corpus is a true partner,
+however common the line alone is, and every later place needs one partner only. Each line of a repeated run
+is in a window that lies in the run: in the one up to it, the one from it, or the one from the run's first
+line. So the windows that stand earlier, each for itself, are together all lines to delete.
 """
 
 from __future__ import annotations
@@ -26,63 +28,73 @@ def _hash(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-def windows(lines: list[str], min_words: int) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
-    """Hash of each line, trimmed, and (first line, last line, fingerprint, content) of each window."""
+def windows(lines: list[str], min_words: int) -> list[tuple[int, int, int, int]]:
+    """(first line, last line, fingerprint, content) of each window.
+
+    Empty lines before or after the words of a window count in its content by their number, so that a
+    long row of them costs no more than its length.
+    """
     hashes = np.array([_hash(line.strip().encode("utf-8", "surrogatepass")) for line in lines], np.int64)
-    counts = [len(line.split()) for line in lines]
-    found, last, total = [], -1, 0
-    for first in range(len(lines)):
-        while total < min_words and last + 1 < len(lines):
-            last += 1
-            total += counts[last]
-        if total < min_words:
-            break
-        if counts[first]:  # a window that begins with an empty line says no more than the next one
-            content = hashes[first:last + 1]
-            found.append((first, last, int(content.min()), _hash(content.tobytes())))
-        total -= counts[first]
-    return hashes, found
+    before = np.concatenate([[0], np.cumsum([len(line.split()) for line in lines])])  # words before each line
+    n, cores, found = len(lines), {}, {}
+
+    def add(first: int, last: int, a: int, b: int) -> None:
+        """The window of lines first to last, whose words begin in line a and end in line b."""
+        if (a, b) not in cores:
+            core = hashes[a:b + 1]
+            cores[a, b] = int(core.min()), _hash(core.tobytes())
+        fingerprint, content = cores[a, b]
+        if (first, last) != (a, b):
+            content = _hash(np.array([content, a - first, last - b], np.int64).tobytes())
+        found[first, last] = fingerprint, content
+
+    ends = np.searchsorted(before, before[:-1] + min_words, "left") - 1
+    words = np.searchsorted(before, before[:-1], "right") - 1
+    for first, last, a in zip(range(n), ends.tolist(), words.tolist()):
+        if last < n:
+            add(first, last, a, last)
+    starts = np.searchsorted(before, before[1:] - min_words, "right") - 1
+    words = np.searchsorted(before, before[1:], "left") - 1
+    for first, last, b in zip(starts.tolist(), range(n), words.tolist()):
+        if first >= 0:
+            add(first, last, first, b)
+    return [(*place, *key) for place, key in found.items()]
 
 
 def _documents(keyed: DataFrame, min_words: int) -> DataFrame:
-    """_k, _t, lines (hashes) and windows of each document with a window."""
-    window = pa.struct([(n, pa.int64()) for n in ("first", "last", "fingerprint", "content")])
+    """_k, _t and windows of each document with a window."""
+    names = ("first", "last", "fingerprint", "content")
 
     def run(batch):
-        keys, lines, found = [], [], []
+        keys, sizes, found = [], [0], [np.empty((0, 4), np.int64)]
         for row, text in enumerate(batch.column(2).to_pylist()):
-            hashes, windows_ = windows(text.split("\n"), min_words)
+            windows_ = windows(text.split("\n"), min_words)
             if windows_:
                 keys.append(row)
-                lines.append(hashes.tobytes())
-                found.append([dict(zip(("first", "last", "fingerprint", "content"), w)) for w in windows_])
-        at = pa.array(keys, pa.int64())
+                sizes.append(len(windows_))
+                found.append(np.array(windows_, np.int64))
+        at, columns = pa.array(keys, pa.int64()), np.concatenate(found).T
+        rows = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names)
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), rows)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(lines, pa.binary()),
-             pa.array(found, pa.list_(window))], ["_k", "_t", "lines", "windows"])
+            [batch.column(0).take(at), batch.column(1).take(at), lists], ["_k", "_t", "windows"])
 
     return map_batches(
         keyed.where("text IS NOT NULL").select("_k", "_t", "text"), run,
-        "_k long, _t long, lines binary, windows array<struct<first:long,last:long,"
+        "_k long, _t long, windows array<struct<first:long,last:long,"
         "fingerprint:long,content:long>>").dropDuplicates(["_k", "_t"])
 
 
-def _extended(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Stretches of lines equal to the source's, from each match as far as they go both ways."""
+def _joined(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Runs of the lines that are in any of the windows."""
     out = []
-    for matches, own, source in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
-        own, source = np.frombuffer(own, np.int64), np.frombuffer(source, np.int64)
-        runs, done = [], {}
+    for matches in batch.column(2).to_pylist():
+        runs = []
         for match in sorted(matches, key=lambda m: m["first"]):
-            a, b, shift = match["first"], match["last"], match["at"] - match["first"]
-            if done.get(shift, -1) >= b:
-                continue
-            while a > 0 and a + shift > 0 and own[a - 1] == source[a - 1 + shift]:
-                a -= 1
-            while b + 1 < len(own) and b + 1 + shift < len(source) and own[b + 1] == source[b + 1 + shift]:
-                b += 1
-            done[shift] = b
-            runs.append({"first": a, "last": b})
+            if runs and match["first"] <= runs[-1]["last"] + 1:
+                runs[-1]["last"] = max(runs[-1]["last"], match["last"])
+            else:
+                runs.append(match)
         out.append(runs)
     kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
     return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)],
@@ -97,14 +109,9 @@ def repeated_runs(keyed: DataFrame, min_words: int) -> DataFrame:
         F.min(F.struct("_k", "_t", "first")).alias("source"), F.count("*").alias("n")).where("n > 1")
     later = rows.join(earliest, ["fingerprint", "content"]).where(
         F.struct("_k", "_t", "first") > F.col("source"))
-    matches = later.groupBy("_k", "_t", F.col("source._k").alias("s_k"), F.col("source._t").alias("s_t")).agg(
-        F.collect_list(F.struct("first", "last", F.col("source.first").alias("at"))).alias("matches"))
-    lines = documents.select("_k", "_t", "lines")
-    sources = lines.select(F.col("_k").alias("s_k"), F.col("_t").alias("s_t"), F.col("lines").alias("source"))
-    pairs = (matches.join(lines, ["_k", "_t"]).join(sources, ["s_k", "s_t"])
-             .select("_k", "_t", "matches", "lines", "source"))
-    runs = map_batches(pairs, _extended, "_k long, _t long, runs array<struct<first:long,last:long>>")
-    found = cut(runs.groupBy("_k", "_t").agg(F.flatten(F.collect_list("runs")).alias("runs")), "runs")
+    matches = later.groupBy("_k", "_t").agg(F.collect_list(F.struct("first", "last")).alias("matches"))
+    found = cut(map_batches(
+        matches, _joined, "_k long, _t long, runs array<struct<first:long,last:long>>"), "runs")
     discard(documents)
     return found
 

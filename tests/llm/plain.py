@@ -44,6 +44,26 @@ def similar(a, b):
     return 100 * both >= 75 * (len(a) + len(b) - both)
 
 
+def lines_repeated_anywhere(documents, min_words):
+    """As repeated_lines, but by all earlier places of each line."""
+    lines = {k: [x.strip() for x in t.split("\n")] for k, t in documents}
+    gone = {k: set() for k in lines}
+    for key, own in lines.items():
+        for other, source in lines.items():
+            for shift in range(1 - len(own), len(source)):
+                if other > key or other == key and shift >= 0:
+                    continue
+                run = []
+                for i in range(len(own) + 1):
+                    if i < len(own) and 0 <= i + shift < len(source) and own[i] == source[i + shift]:
+                        run.append(i)
+                        continue
+                    if sum(len(own[j].split()) for j in run) >= min_words:
+                        gone[key] |= set(run)
+                    run = []
+    return gone
+
+
 def repeated_lines(documents, min_words):
     """Line numbers to delete of each (key, text), keys in order, by the definition."""
     seen, runs = {}, {}

@@ -98,6 +98,19 @@ def test_later_runs_go(docs):
         assert found[key].text == "\n".join(x for i, x in enumerate(lines) if i not in gone[key])
 
 
+def test_runs_go_whichever_earlier_place_has_them(spark):
+    rng = np.random.default_rng(7)
+    shared = ["a " * 60, "b b", "c", "", "d " * 9, "e " * 30, "f " * 25, " "]
+    texts = [(1, "a " * 60 + "\nother"), (2, "a " * 60 + "\nb b\nc"), (3, "a " * 60 + "\nb b\nc\nown"),
+             *((k, "\n".join(shared[i] for i in rng.integers(0, 8, rng.integers(1, 14)))) for k in range(4, 60))]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r for r in line_dedup.deduplicate_lines(df).collect()}
+    assert found[3].text == "own"
+    gone = plain.lines_repeated_anywhere(texts, 50)
+    for key, text in texts:
+        assert found[key].text == "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone[key])
+
+
 def test_line_dedup_of_odd_rows(odd, none):
     found = line_dedup.deduplicate_lines(odd)
     assert found.columns == [*odd.columns, "n_lines", "n_deleted"]
