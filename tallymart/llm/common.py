@@ -17,6 +17,8 @@ from ..sources.tables import scratch_path
 STEP_BYTES = 500_000
 #: Bytes of an Arrow batch that a function gets at once; a longer row comes alone.
 SLICE_BYTES = 4_000_000
+#: A group of more rows is joined by broadcast. More of them than MOST_LARGE are not possible.
+LARGE_GROUP, MOST_LARGE = 10_000, 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,3 +93,24 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
 def schema_with(docs: DataFrame, *more: tuple[str, T.DataType]) -> T.StructType:
     """The schema of ``docs`` with further fields."""
     return T.StructType([*docs.schema.fields, *[T.StructField(n, kind) for n, kind in more]])
+
+
+def join_members(rows: DataFrame, groups: DataFrame, keys: list[str], members: str) -> DataFrame:
+    """``rows`` with the columns of their group; ``members`` tells how many rows a group has.
+
+    Groups of many rows are broadcast, so that none lands in one task. Their number is bounded: what counts
+    as many grows with the number of rows.
+    """
+    n_rows = groups.agg(F.sum(members)).first()[0] or 0
+    large = F.col(members) > max(LARGE_GROUP, n_rows // MOST_LARGE)
+    many = F.broadcast(groups.where(large))
+    others = rows.join(F.broadcast(groups.where(large).select(*keys)), keys, "left_anti")
+    return rows.join(many, keys).unionByName(others.join(groups.where(~large), keys))
+
+
+def lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The offsets and the values, as double, of a list array without nulls."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    offsets = np.asarray(column.offsets, np.int64)
+    values = column.values.slice(offsets[0], offsets[-1] - offsets[0])
+    return offsets - offsets[0], np.asarray(pc.cast(values, pa.float64()))

@@ -94,8 +94,63 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM dw LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+SPELLING = rf"""
+WITH RECURSIVE bits AS (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: {_CRC_STEP}) AS v FROM range(256) AS t(i)),
+crc AS (SELECT list(v ORDER BY i) AS codes FROM bits),
+r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS head, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-z\x{{00C0}}-\x{{00FF}}]{{6,}}')) AS run
+    FROM documents) GROUP BY 1, 2),
+b AS (
+  SELECT run, c, length(run) AS l, flatten(list_transform(range(1, length(head || run) + 1), lambda i:
+    CASE WHEN unicode(substr(head || run, i, 1)) < 128 THEN [unicode(substr(head || run, i, 1))::BIGINT]
+         ELSE [195::BIGINT, (unicode(substr(head || run, i, 1)) - 64)::BIGINT] END)) AS bytes FROM r),
+h AS (
+  SELECT run, c, l, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes),
+    lambda a, x: xor(a >> 8, codes[1 + (xor(a, x) & 255)])), 4294967295::BIGINT) AS h FROM b, crc),
+s AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % l)::BIGINT) || substr(run, (h % l)::BIGINT + 2)
+              ELSE run END AS word, c FROM h),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM s WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+d AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+      FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (
+  SELECT a.word, b.word AS near FROM d AS a JOIN d AS b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT word, rest FROM d WHERE rest IN (SELECT word FROM v)
+  UNION SELECT rest, word FROM d WHERE rest IN (SELECT word FROM v)),
+q AS (SELECT p.word, near, m.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+             row_number() OVER (PARTITION BY p.word ORDER BY m.n DESC, near) AS k
+      FROM p JOIN v AS m ON m.word = near),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form,
+             CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+      FROM v LEFT JOIN q ON q.word = v.word AND k = 1),
+t AS (SELECT word, word AS root FROM f UNION
+      SELECT t.word, f.form FROM t JOIN f ON f.word = t.root WHERE form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, t.root
+FROM f JOIN t USING (word) JOIN f AS last ON last.word = t.root AND last.form IS NULL
+"""
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+ok AS (SELECT * FROM e WHERE len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+                         AND len(list_filter(x, lambda c: c <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok AS a JOIN ok AS b
+      ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS root FROM e UNION SELECT l.b, root FROM r JOIN l USING (a)),
+m AS (SELECT a, min(root) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM e JOIN m ON m.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_merkle_fixity": FIXITY,
     "op4_quality_rules": QUALITY,
     "op10_benchmark_decontamination": DECONTAMINATION,
+    "op11_spelling_variants": SPELLING,
+    "op12_embedding_dedup": EMBEDDING_DEDUP,
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
-    decontamination, fixity, jaccard_join, language, line_dedup, packing, quality, secrets, sharding,
-    toxicity,
+    decontamination, embedding_dedup, fixity, jaccard_join, language, line_dedup, packing, quality,
+    secrets, sharding, spelling, toxicity, whitening,
 )
 from .common import held_out, table
 
@@ -87,6 +87,21 @@ def op10_benchmark_decontamination(spark, sf):
         decontamination.contaminated().alias("contaminated"))
 
 
+def op11_spelling_variants(spark, sf):
+    """One run in 199 loses a letter first."""
+    counts = spelling.word_counts(table(spark, sf, "documents"), drop_every=199)
+    return spelling.variant_groups(counts)
+
+
+def op12_embedding_dedup(spark, sf):
+    return embedding_dedup.near_vectors(table(spark, sf, "embeddings"))
+
+
+def op13_embedding_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 QUERIES = {query.__name__: query for query in (
     op1_merkle_fixity, op2_sharding, op3_line_dedup, op4_quality_rules, op5_language_id, op6_packing,
-    op7_toxicity, op8_secret_scan, op9_ngram_jaccard_join, op10_benchmark_decontamination)}
+    op7_toxicity, op8_secret_scan, op9_ngram_jaccard_join, op10_benchmark_decontamination, op11_spelling_variants,
+    op12_embedding_dedup, op13_embedding_whitening)}
