@@ -127,15 +127,22 @@ def _links(x, own, resident, order, split, table, hashes, cosine):
         i, j = i[take], j[take]
         if not len(i):
             continue
-        among, place = np.unique(np.concatenate((i, j)), return_inverse=True)
-        a, b = place[:len(i)], place[len(i):]
-        now = bucket_codes(x[among], table, hashes)
-        twice = ~resident[j] & (now[a] == now[b, :1]).any(1) & (order[j] < order[i])
-        seen = twice
+        # What met before goes table by table: few pairs are left after the first ones.
+        i, j = _unseen(i, j, lambda a, b, codes: (
+            ~resident[j] & (codes[a] == codes[b, :1]).any(1) & (order[j] < order[i])), x, table, hashes)
         for earlier in range(table):
-            seen |= _met(a, b, bucket_codes(x[among], earlier, hashes))
-        if not seen.all():
-            yield i[~seen], j[~seen]
+            i, j = _unseen(i, j, _met, x, earlier, hashes)
+        if len(i):
+            yield i, j
+
+
+def _unseen(i, j, met, x, table, hashes):
+    """The pairs (i, j) that did not meet by the buckets of a table."""
+    if not len(i):
+        return i, j
+    among, place = np.unique(np.concatenate((i, j)), return_inverse=True)
+    left = ~met(place[:len(i)], place[len(i):], bucket_codes(x[among], table, hashes))
+    return i[left], j[left]
 
 
 def _least(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
