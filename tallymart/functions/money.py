@@ -53,10 +53,20 @@ def from_minor_units(total: Column) -> Column:
                       F.raise_error(F.lit("turnover out of range")))
 
 
-def turnover(exact: Column, wide: Column) -> Column:
+def whole_part(total: Column, n_products: Column, n_expected: Column) -> Column:
+    """A part of a total, 0 where it has no addend; an error if an addend or the sum was out of range.
+
+    Without ANSI mode such values become NULL, which sums pass over: absent and overflowed are told apart by
+    the number of products there should be.
+    """
+    fits = (n_products == n_expected) & total.isNotNull()
+    return (F.when(n_expected == 0, F.lit(Decimal(0))).when(fits, total)
+            .otherwise(F.raise_error(F.lit("turnover out of range")).cast("decimal(38,9)")))
+
+
+def turnover(exact: Column, wide: Column, n_wide: Column) -> Column:
     """Cents of the two parts of a total; without a wide part not a digit of the other is lost."""
-    exact = F.coalesce(exact, F.lit(Decimal(0)))
-    return F.when(wide.isNull(), from_minor_units(exact)).otherwise(from_minor_units(exact + wide))
+    return F.when(n_wide == 0, from_minor_units(exact)).otherwise(from_minor_units(exact + wide))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -55,7 +55,14 @@ def insert_if_absent(
 
 
 def keyed_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``target`` with the rows of ``source`` put in place of those with the same key."""
+    """``target`` with the rows of ``source`` put in place of those with the same key.
+
+    A key that ``source`` holds twice is an error, as which row should win is not told.
+    """
+    times = Window.partitionBy(*keys)
+    twice = F.raise_error(F.lit("keyed_upsert: a key of the source has several rows"))
+    source = source.withColumn("_n", F.count(F.lit(1)).over(times)).where(
+        F.when(F.col("_n") > 1, twice.cast("boolean")).otherwise(True)).drop("_n")
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import (
-    AMOUNT, converted, converted_wide, exact_rate, ratio, turnover, wide_rate,
+    AMOUNT, converted, converted_wide, exact_rate, ratio, turnover, whole_part, wide_rate,
 )
 from ..functions.time import on_days
 from ..schemas import BASE_CURRENCY, METRICS_KEY, METRICS_VALUES
@@ -16,17 +16,23 @@ from .ranking import done_on_day, drop_test_accounts, latest_status
 
 def metrics_of_rows(rows: DataFrame) -> DataFrame:
     """Metrics of converted payments (the output of ``union_branches``)."""
-    rate = F.col("currency_with_div")
+    rate, amount = F.col("currency_with_div"), F.col("amount")
+    product, wide_product = converted(amount, exact_rate(rate)), converted_wide(amount, wide_rate(rate))
     n, accounts = F.col("cnt_transactions"), F.col("cnt_accounts_make_transactions")
     return (
         rows.groupBy("date_update", F.col("currency_code").alias("currency_from"))
         .agg(
-            F.sum(converted(F.col("amount"), exact_rate(rate))).alias("total"),
-            F.sum(converted_wide(F.col("amount"), wide_rate(rate))).alias("wide_total"),
+            F.sum(product).alias("total"), F.count(product).alias("n_total"),
+            F.count(F.when(amount.isNotNull(), exact_rate(rate))).alias("n_exact"),
+            F.sum(wide_product).alias("wide_total"), F.count(wide_product).alias("n_wide_total"),
+            F.count(F.when(amount.isNotNull(), wide_rate(rate))).alias("n_wide"),
             F.count(F.lit(1)).alias("cnt_transactions"),
             F.count_distinct("account_number_from").alias("cnt_accounts_make_transactions"),
         )
-        .select(*METRICS_KEY, turnover(F.col("total"), F.col("wide_total")).alias("amount_total"),
+        .select(*METRICS_KEY,
+                turnover(whole_part(F.col("total"), F.col("n_total"), F.col("n_exact")),
+                         whole_part(F.col("wide_total"), F.col("n_wide_total"), F.col("n_wide")),
+                         F.col("n_wide")).alias("amount_total"),
                 n, ratio(n, accounts).alias("avg_transactions_per_account"), accounts)
     )
 
@@ -44,25 +50,37 @@ def metrics_of_sums(done: DataFrame, rates: DataFrame, base: int = BASE_CURRENCY
     keys = ["date_update", "currency_code"]
     sums = done.groupBy(*keys).agg(
         F.sum(F.col("amount").cast(AMOUNT)).alias("amount"),
+        F.count("amount").alias("n_amounts"),
         F.count(F.lit(1)).alias("n_payments"),
         F.count_distinct("account_number_from").alias("cnt_accounts_make_transactions"),
     )
     factors = rates.where(F.col("currency_code_with") == base).groupBy(*keys).agg(
         F.sum(exact_rate(F.col("currency_with_div"))).alias("rate"),
         F.sum(wide_rate(F.col("currency_with_div"))).alias("wide_rate"),
+        F.count(exact_rate(F.col("currency_with_div"))).alias("n_exact"),
+        F.count(wide_rate(F.col("currency_with_div"))).alias("n_wide"),
         F.count(F.lit(1)).alias("n_rates"),
     )
     own = F.when(F.col("currency_code") == base, 1).otherwise(0)
     n, accounts = F.col("cnt_transactions"), F.col("cnt_accounts_make_transactions")
+    none = F.col("n_amounts") == 0
+    # One product for each part: there should be one if the part has a rate.
+    expected = lambda n_rates: F.when(none, 0).otherwise((n_rates > 0).cast("int"))
+    made = lambda column: column.isNotNull().cast("int")
+    product = converted(F.col("amount"), F.col("rate"))
+    wide_product = converted_wide(F.col("amount"), F.col("wide_rate"))
     return (
         sums.join(factors, keys, "left")
         .withColumn("rate", F.coalesce("rate", F.lit(0)) + own)
         .withColumn("n_rates", F.coalesce("n_rates", F.lit(0)) + own)
+        .withColumn("n_exact", F.coalesce("n_exact", F.lit(0)) + own)
+        .withColumn("n_wide", F.coalesce("n_wide", F.lit(0)))
         .where("n_rates > 0")
         .withColumn("cnt_transactions", F.col("n_payments") * F.col("n_rates"))
         .select("date_update", F.col("currency_code").alias("currency_from"),
-                turnover(converted(F.col("amount"), F.col("rate")),
-                         converted_wide(F.col("amount"), F.col("wide_rate"))).alias("amount_total"),
+                turnover(whole_part(product, made(product), expected(F.col("n_exact"))),
+                         whole_part(wide_product, made(wide_product), expected(F.col("n_wide"))),
+                         F.col("n_wide")).alias("amount_total"),
                 n, ratio(n, accounts).alias("avg_transactions_per_account"), accounts)
     )
 

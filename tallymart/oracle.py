@@ -213,6 +213,19 @@ ORACLE = {
                                      CASE WHEN kind = 5 THEN '"x"'::JSON ELSE payload::JSON END
                                     )::VARCHAR END AS value
         FROM decoded WHERE kind > 0"""),
+    "ingest_batches": _with("messages", """
+        SELECT CAST(count(*) AS BIGINT) AS n_messages, CAST(count_if(kind > 0) AS BIGINT) AS n_rejected,
+               min("offset") AS first_offset, max("offset") AS last_offset
+        FROM messages GROUP BY CASE WHEN part = 1 THEN -1 ELSE "offset" % 6 END"""),
+    "keyed_ingest": _with("outbox", "SELECT * FROM outbox"),
+    "compact_outbox": _with("outbox", "SELECT * FROM outbox"),
+    "compact_outbox_layout": _with("outbox", """
+        SELECT sent_date, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unordered
+        FROM outbox GROUP BY sent_date"""),
+    "stored_oldest_days": _with("outbox, tx_staging", """
+        SELECT min(sent_date) AS oldest_day, 'outbox' AS table_name FROM outbox
+        UNION ALL
+        SELECT CAST(min(transaction_dt) AS DATE), 'transactions' FROM tx_staging"""),
     "insert_if_absent": _with("outbox", f"SELECT * FROM outbox WHERE sent_date >= {DAY}"),
     "kafka_sink_encode": _with("fx_tx", """
         SELECT json_object('operation_id', operation_id, 'currency_code', currency_code,
@@ -223,6 +236,9 @@ ORACLE = {
     "outbox_day_slice": _with("outbox", f"""
         SELECT object_id, object_type, sent_dttm, sent_date FROM outbox
         WHERE object_type = 'TRANSACTION' AND CAST(sent_dttm AS DATE) = {DAY}"""),
+    "stored_day_slice": _with("outbox", f"""
+        SELECT object_id, object_type, sent_dttm, sent_date FROM outbox
+        WHERE object_type = 'TRANSACTION' AND CAST(sent_dttm AS DATE) = {DAY}"""),
     "extract_transactions": _with("messages", f"""
         SELECT {_uuid("object_id")} AS object_id, CAST(sent_dttm AS DATE) AS load_date, {TX_TEXT}
         FROM messages WHERE kind = 0 AND part = 0"""),
@@ -278,10 +294,9 @@ ORACLE = {
         SELECT k, CAST(min(ts) AS DATE) + 1 FROM events
                CROSS JOIN (VALUES ('click'), ('never_run')) AS keys(k) GROUP BY k"""),
     "import_days": _with("imported", f"{STAGED} imported"),
-    "import_day": _with("imported, outbox", f"""
-        {STAGED} imported WHERE load_date < (SELECT min(sent_date) + 11 FROM outbox)"""),
+    "import_day": _with("imported", f"{STAGED} imported"),
     "import_day_bookmark": _with("outbox", """
-        SELECT 'outbox_to_staging' AS workflow_key, min(sent_date) + 11 AS date_to_load FROM outbox"""),
+        SELECT 'outbox_to_staging' AS workflow_key, max(sent_date) + 1 AS date_to_load FROM outbox"""),
     "import_days_currencies": _with("fx_rates", f"""
         SELECT {RATE}, day AS load_date, day AS event_date FROM fx_rates"""),
     "import_rejects": _with("odd", """
@@ -305,6 +320,20 @@ ORACLE = {
     "global_metrics": _with("metrics", "SELECT * FROM metrics"),
     "global_metrics_minus_one": _with("metrics_minus_one", "SELECT * FROM metrics_minus_one"),
     "global_metrics_by_rows": _with("metrics", "SELECT * FROM metrics"),
+    # A group's total is its amounts times its rates; the wide ones have ten places here.
+    "global_metrics_wide_rates": _with("metrics, done, fx_rates", """
+        SELECT m.date_update, currency_from,
+               CASE WHEN currency_from IN (430, 440) THEN w.total ELSE m.amount_total END AS amount_total,
+               cnt_transactions, avg_transactions_per_account, cnt_accounts_make_transactions
+        FROM metrics AS m LEFT JOIN (
+            SELECT date_update, currency_code,
+                   CAST(round(CAST(sum(amount) AS DECIMAL(12, 0))
+                        * CASE currency_code WHEN 430 THEN CAST('0.0000000004' AS DECIMAL(20, 10))
+                                             ELSE CAST('250000000' AS DECIMAL(20, 10)) END, 0)
+                        * CAST('0.01' AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS total
+            FROM done GROUP BY date_update, currency_code) AS w
+          ON w.date_update = m.date_update AND w.currency_code = m.currency_from"""),
+    "refresh_after_load": _with("metrics", "SELECT * FROM metrics"),
     "merge_metrics": _with("metrics, metrics_minus_one", f"""
         SELECT {METRICS} FROM metrics WHERE date_update >= {MART_FROM}
         UNION ALL
@@ -326,3 +355,5 @@ ORACLE = {
         SELECT {METRICS} FROM metrics_minus_one WHERE date_update < {DAY}"""),
     "messages_to_mart": _with("metrics_imported", "SELECT * FROM metrics_imported"),
 }
+ORACLE["keyed_ingest_rejects"] = ORACLE["message_rejects"]
+ORACLE["kafka_sink_stream"] = ORACLE["kafka_sink_encode"]

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from ..functions.time import on_days
 from ..operators.staging import (
     both_present_gate, day_counts, extract_currencies, extract_transactions, invalid_rows,
-    oldest_outbox_day, row_contract, staged_currencies, staged_transactions, valid_rows,
+    row_contract, staged_currencies, staged_transactions, valid_rows,
 )
 from ..schemas import (
     CURRENCIES, CURRENCY, OUTBOX, STAGED_CURRENCIES, STAGED_TRANSACTIONS, STAGING_REJECTS,
     TRANSACTION, TRANSACTIONS,
 )
-from ..sources.tables import Tables, read_table, replace_scope
+from ..sources.folders import oldest_day_row, read_days
+from ..sources.tables import Tables, replace_scope
 from .bookmarks import day_to_load, move_past
 
 WORKFLOW_KEY = "outbox_to_staging"
@@ -72,7 +73,8 @@ def import_days(spark: SparkSession, tables: Tables, first: date, last: date,
     database read day by day; by default it is the stored table.
     """
     if outbox is None:
-        outbox = read_table(spark, tables.outbox, OUTBOX)  # one list of files for counts and rows
+        # One list of files, those of the range, for counts and rows.
+        outbox = read_days(spark, tables.outbox, OUTBOX, ["sent_date"], "sent_date", first, last)
     in_range = outbox.where(on_days(F.col("sent_date"), first, last))
     days = both_present_gate(day_counts(in_range)).orderBy("sent_date").collect()
     loaded = [row.sent_date for row in days if row.loaded]
@@ -95,7 +97,7 @@ def import_day(spark: SparkSession, tables: Tables, strict: bool = False,
                workflow_key: str = WORKFLOW_KEY) -> ImportResult | None:
     """Load the bookmarked day, or the oldest, and move the bookmark. None if the outbox is empty."""
     day = day_to_load(spark, tables, workflow_key,
-                      lambda: oldest_outbox_day(read_table(spark, tables.outbox, OUTBOX)))
+                      lambda: oldest_day_row(spark, tables.outbox, OUTBOX, ["sent_date"], "sent_date"))
     if day is None:
         return None
     result = import_days(spark, tables, day, day, strict)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from .functions.time import on_days
 from .operators import bookmark, conversion, envelope, keyed, metrics, ranking, staging
-from .plans import datamart, import_day
+from .plans import compaction, datamart, import_day
 from .schemas import (
     BOOKMARKS, CURRENCIES, CURRENCY, CURRENCY_KEY, GLOBAL_METRICS, MESSAGE_REJECTS, OUTBOX,
     STAGED_CURRENCIES, STAGED_TRANSACTIONS, STAGING_REJECTS, TRANSACTION, TRANSACTIONS,
     TRANSACTION_KEY,
 )
-from .sources import files, kafka
+from .sources import files, folders, kafka
 from .sources.tables import Tables, append_rows, read_table, replace_scope, scratch_path
-from .streaming.ingest import ingest_available
+from .streaming import keyed as keyed_stream
+from .streaming.ingest import ingest_available, read_batches
 
 DAY = date(2024, 1, 15)
-DAILY_RUNS = 11
 TEXT_ENVELOPE = ["partition", "offset", "object_id", "object_type", "sent_dttm", "payload", "reason"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,69 @@ def message_rejects(spark, sf):
     return read_table(spark, tables.message_rejects, MESSAGE_REJECTS)
 
 
+def ingest_batches(spark, sf):
+    """The ledger of a stream whose batches are files of known content: messages and rejects of each."""
+    tables = Tables(scratch_path(spark, "ledger"))
+    inbox = f"{tables.root}/inbox"
+    lot = F.when(F.col("partition") == fx.REPEATS, -1).otherwise(F.col("offset") % 6)
+    (fx.fx_messages(spark, sf).withColumn("lot", lot).repartition("lot")
+     .write.partitionBy("lot").parquet(inbox))
+    ingest_available(spark, files.file_messages(spark, f"{inbox}/*", files_per_batch=1), tables,
+                     f"{tables.root}/ingest-checkpoint")
+    return read_batches(spark, tables).groupBy("stream", "batch_id").agg(
+        F.sum("n_messages").alias("n_messages"), F.sum("n_rejected").alias("n_rejected"),
+        F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"),
+    ).drop("stream", "batch_id")
+
+
+def _ingested_by_key(spark, sf) -> Tables:
+    """Two runs by stored keys, the repeats in the second; then all again with a new checkpoint."""
+    tables = Tables(scratch_path(spark, "keyed"))
+    inbox = f"{tables.root}/inbox"
+    messages, repeat = fx.fx_all_messages(spark, sf), F.col("partition") == fx.REPEATS
+    for some in (~repeat, repeat):
+        messages.where(some).repartition(4).write.mode("append").parquet(inbox)
+        keyed_stream.ingest_keyed_available(spark, files.file_messages(spark, inbox), tables,
+                                            f"{tables.root}/checkpoint")
+    keyed_stream.start_keyed_store(spark, tables, f"{tables.root}/checkpoint-2", once=True).awaitTermination()
+    return tables
+
+
+def keyed_ingest(spark, sf):
+    return read_table(spark, _ingested_by_key(spark, sf).outbox, OUTBOX)
+
+
+def keyed_ingest_rejects(spark, sf):
+    return read_table(spark, _ingested_by_key(spark, sf).message_rejects, MESSAGE_REJECTS)
+
+
+def _compacted(spark, sf) -> Tables:
+    """An outbox of many small files, merged twice."""
+    tables = Tables(scratch_path(spark, "compact"))
+    rows = fx.fx_outbox(spark, sf).withColumn("lot", F.pmod(F.xxhash64("object_id"), F.lit(6)))
+    rows.repartition(6, "lot").drop("lot").write.partitionBy("sent_date").parquet(tables.outbox)
+    for _ in range(2):
+        compaction.compact_outbox(spark, tables, least_files=2)
+    return tables
+
+
+def compact_outbox(spark, sf):
+    return read_table(spark, _compacted(spark, sf).outbox, OUTBOX)
+
+
+def compact_outbox_layout(spark, sf):
+    """Files of each day after the merge, and rows before an earlier one of their file."""
+    in_file = Window.partitionBy("sent_date", "file").orderBy("at")
+    return (
+        read_table(spark, _compacted(spark, sf).outbox, OUTBOX)
+        .select("sent_date", "object_type", "sent_dttm", F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.row_index").alias("at"))
+        .withColumn("before", F.lag(F.struct("object_type", "sent_dttm")).over(in_file))
+        .groupBy("sent_date")
+        .agg(F.count_distinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"),
+             F.count_if(F.col("before") > F.struct("object_type", "sent_dttm")).alias("n_unordered")))
+
+
 def insert_if_absent(spark, sf):
     rows = envelope.accepted(envelope.read_envelope(fx.fx_all_messages(spark, sf)))
     stored = fx.fx_outbox(spark, sf).where(F.col("sent_date") < F.lit(DAY))
@@ -86,6 +149,19 @@ def kafka_sink_encode(spark, sf):
     return kafka.kafka_sink_encode(rows)
 
 
+def kafka_sink_stream(spark, sf):
+    """Rows sent as a stream in two runs from one checkpoint, here to files."""
+    root = scratch_path(spark, "sink")
+    rows = fx.fx_tx(spark, sf).select(
+        "operation_id", "currency_code", "amount",
+        F.nullif("country", F.lit("country_0")).alias("country"), (F.col("event_id") % 2).alias("half"))
+    for half in (0, 1):
+        rows.where(F.col("half") == half).drop("half").write.mode("append").parquet(f"{root}/rows")
+        stream = spark.readStream.schema(rows.drop("half").schema).parquet(f"{root}/rows")
+        kafka.start_sink(stream, f"{root}/checkpoint", "text", {"path": f"{root}/sent"}, once=True).awaitTermination()
+    return spark.read.text(f"{root}/sent")
+
+
 # --- staging import ------------------------------------------------------------------------
 
 def oldest_outbox_day(spark, sf):
@@ -97,6 +173,35 @@ def outbox_day_slice(spark, sf):
             .select("object_id", "object_type", "sent_dttm", "sent_date"))
 
 
+def _with_empty_day(spark, df, path: str, partition_by: list[str], day_column: str) -> None:
+    """``df`` stored, with a folder of a day before all others that holds a file but no row."""
+    append_rows(df, path, partition_by)
+    first = date(1999, 12, 31)
+    folder = "/".join(f"{name}={first}" for name in partition_by)
+    df.where("false").drop(*partition_by).coalesce(1).write.parquet(f"{path}/{folder}")
+
+
+def stored_oldest_days(spark, sf):
+    """The first days of stored tables, found by folder names."""
+    tables = Tables(scratch_path(spark, "oldest"))
+    staged = datamart.STAGING_FOLDERS
+    _with_empty_day(spark, fx.fx_outbox(spark, sf), tables.outbox, ["sent_date"], "sent_date")
+    _with_empty_day(spark, fx.tx_staging(spark, sf), tables.transactions, staged, "event_date")
+    outbox = folders.oldest_day_row(spark, tables.outbox, OUTBOX, ["sent_date"], "sent_date")
+    staging_day = folders.oldest_day_row(spark, tables.transactions, STAGED_TRANSACTIONS, staged, "event_date")
+    return outbox.withColumn("table_name", F.lit("outbox")).unionByName(
+        staging_day.withColumn("table_name", F.lit("transactions")))
+
+
+def stored_day_slice(spark, sf):
+    """The same slice from the stored outbox, of which only the day's folder is opened."""
+    tables = Tables(scratch_path(spark, "slice"))
+    append_rows(fx.fx_outbox(spark, sf), tables.outbox, ["sent_date"], ["object_type", "sent_dttm"])
+    day = folders.read_days(spark, tables.outbox, OUTBOX, ["sent_date"], "sent_date", DAY, DAY)
+    return staging.outbox_day_slice(day, TRANSACTION, DAY).select(
+        "object_id", "object_type", "sent_dttm", "sent_date")
+
+
 def extract_transactions(spark, sf):
     rows = staging.outbox_day_slice(fx.fx_outbox(spark, sf), TRANSACTION, None)
     return staging.extract_transactions(rows).drop("payload")
@@ -212,11 +317,12 @@ def _imported(spark, sf) -> Tables:
 
 
 def _imported_daily(spark, sf) -> Tables:
-    """The daily job run from an empty bookmark; one of the days has no rates."""
+    """The daily job run from an empty bookmark, once for each day of the outbox; some have no rates."""
     tables = Tables(scratch_path(spark, "import"))
     append_rows(fx.fx_outbox(spark, sf), tables.outbox, ["sent_date"],
                 ["object_type", "sent_dttm"])
-    for _ in range(DAILY_RUNS):
+    first, last = _span(fx.fx_outbox(spark, sf), "sent_date")
+    for _ in range((last - first).days + 1):
         import_day.import_day(spark, tables)
     return tables
 
@@ -313,6 +419,14 @@ def global_metrics_by_rows(spark, sf):
     return metrics.metrics_of_rows(union_branches(spark, sf))
 
 
+def global_metrics_wide_rates(spark, sf):
+    """Rates that need more digits, before or behind the point, than the exact type has."""
+    wide = (F.when(F.col("currency_code") == 430, F.lit(4e-10))
+            .when(F.col("currency_code") == 440, F.lit(2.5e8)).otherwise(F.col("currency_with_div")))
+    rates = fx.rates_staging(spark, sf).withColumn("currency_with_div", wide)
+    return metrics.global_metrics(fx.tx_staging(spark, sf), rates)
+
+
 def merge_metrics(spark, sf):
     """A mart kept under another rule up to mid-month, merged with recomputed days around it."""
     tx, rates = fx.tx_staging(spark, sf), fx.rates_staging(spark, sf)
@@ -352,6 +466,22 @@ def backfill_stored_mart(spark, sf):
     return read_table(spark, tables.global_metrics, GLOBAL_METRICS)
 
 
+def refresh_after_load(spark, sf):
+    """A mart of the first loads, refreshed after two further ones: only days that these change."""
+    tables = Tables(scratch_path(spark, "refresh"))
+    tx, rates = fx.tx_staging(spark, sf), fx.rates_staging(spark, sf)
+    next_day = DAY + timedelta(days=1)
+    for first, last in ((None, DAY - timedelta(days=1)), (DAY, next_day), (next_day + timedelta(days=1), None)):
+        loads = on_days(F.col("load_date"), first, last)
+        append_rows(tx.where(loads), tables.transactions, datamart.STAGING_FOLDERS, ["transaction_dt"])
+        append_rows(rates.where(loads), tables.currencies, datamart.STAGING_FOLDERS)
+        if first is None:
+            datamart.backfill_range(spark, tables, *_span(tx.where(loads), "event_date"))
+        else:
+            datamart.refresh_after_load(spark, tables, first, last or _span(tx, "load_date")[1])
+    return read_table(spark, tables.global_metrics, GLOBAL_METRICS)
+
+
 def messages_to_mart(spark, sf):
     """The whole pipeline: stream, import, mart."""
     tables = _ingested(spark, sf)
@@ -365,14 +495,17 @@ def messages_to_mart(spark, sf):
 QUERIES: dict[str, Query] = {
     query.__name__: query for query in (
         decode_envelope, require_fields, type_envelope, bounded_batches, message_rejects,
-        insert_if_absent, kafka_sink_encode,
+        insert_if_absent, ingest_batches, keyed_ingest, keyed_ingest_rejects, compact_outbox,
+        compact_outbox_layout, kafka_sink_encode, kafka_sink_stream,
+        stored_oldest_days, stored_day_slice,
         oldest_outbox_day, outbox_day_slice, extract_transactions, extract_currencies,
         row_contract, both_present_gate, csv_interchange, csv_interchange_currencies,
         staging_load, key_violations, key_violations_currencies, staging_layout, bookmark_read,
         bookmark_upsert, import_days, import_day_bookmark, import_days_currencies, import_rejects,
         oldest_staging_day, drop_test_accounts, latest_status, latest_status_since, done_on_day,
         rates_on_day, convert_to_base, convert_to_base_salted, base_currency_rows, union_branches,
-        global_metrics, global_metrics_minus_one, global_metrics_by_rows, merge_metrics,
+        global_metrics, global_metrics_minus_one, global_metrics_by_rows, global_metrics_wide_rates,
+        merge_metrics, refresh_after_load,
         update_datamart_day, update_datamart_bookmark, backfill_range, backfill_stored_mart,
         messages_to_mart,
     )

@@ -40,6 +40,17 @@ MESSAGE_REJECTS = T.StructType([
     T.StructField("reason", T.StringType()),
 ])
 
+INGEST_BATCHES = T.StructType([
+    T.StructField("stream", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("first_offset", T.LongType()),
+    T.StructField("last_offset", T.LongType()),
+    T.StructField("n_messages", T.LongType()),
+    T.StructField("n_rejected", T.LongType()),
+])
+
 TRANSACTIONS = T.StructType([
     T.StructField("operation_id", T.StringType()),
     T.StructField("account_number_from", T.LongType()),

@@ -6,6 +6,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..schemas import BATCH_INTERVAL
 
 
 @dataclass(frozen=True)
@@ -64,5 +67,17 @@ def kafka_sink_encode(df: DataFrame) -> DataFrame:
         F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def start_sink(rows: DataFrame, checkpoint: str, sink: str, options: dict[str, str], once: bool = False,
+               interval: str = BATCH_INTERVAL) -> StreamingQuery:
+    """A stream of rows, encoded, into a sink: ``kafka`` with ``KafkaAccess.sink_options()``, or files.
+
+    The checkpoint remembers what was sent: a restart sends on from there. To a topic a batch that broke off
+    may be sent again; the file sink has each batch once.
+    """
+    trigger = {"availableNow": True} if once else {"processingTime": interval}
+    return (kafka_sink_encode(rows).writeStream.format(sink).options(**options)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
 def kafka_write(df: DataFrame, access: KafkaAccess) -> None:
     kafka_sink_encode(df).write.format("kafka").options(**access.sink_options()).save()

@@ -36,6 +36,16 @@ class Tables:
         """Messages that could not be typed, with the reason."""
         return self._path("message_rejects")
 
+    @property
+    def landing(self) -> str:
+        """Typed messages as they came, partitioned by landed."""
+        return self._path("landing")
+
+    @property
+    def ingest_batches(self) -> str:
+        """What each batch of the stream held, by topic and partition."""
+        return self._path("ingest_batches")
+
     @property
     def transactions(self) -> str:
         """Partitioned by load_date, event_date."""
@@ -98,7 +108,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.createDataFrame([], schema) if stored is None else stored
 
 
-def _laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
     """Rows gathered by partition, in files of even size, sorted inside.
 
     The rebalance hint leaves the number of tasks to the runtime sizes: a partition with a third of
@@ -114,7 +124,7 @@ def _laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]
 
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 sort_by: Sequence[str] = ()) -> None:
-    (_laid_out(df, partition_by, sort_by)
+    (laid_out(df, partition_by, sort_by)
      .write.mode("append").partitionBy(*partition_by).parquet(path))
 
 
@@ -125,7 +135,7 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     They are written aside and swapped in when the job ends, so ``df`` may read the table itself, and
     a failed job changes nothing.
     """
-    (_laid_out(df, partition_by, sort_by)
+    (laid_out(df, partition_by, sort_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
