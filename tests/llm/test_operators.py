@@ -212,12 +212,19 @@ def test_tokens_are_those_of_the_library():
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     encode = tokens.encoder()
     for text in ("", "a", " a", "a ", "a  b", "a \nb", "a\n b", "it's  naïve\t x", "the cat\nthe cat", "  ",
-                 "x y z", "été à 12,5 % <b>", "word " * 50 + "end", "\n\n a"):
+                 "x y z", "été à 12,5 % <b>", "word " * 50 + "end", "\n\n a", "end <|endoftext|> next", "<|endoftext|>", "<|endoftext|>a<|endoftext|>",
+                 "a<|endoftext|><|endoftext|>  b", "a <|endoftext|", "x" * 5000 + "<|endoftext|>\n" + "y " * 3000):
         ids = whole.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encode(text), "<u4").tolist() == ids
 
 
-@pytest.mark.parametrize("table", ["docs", "odd"])
+@pytest.fixture(scope="module")
+def marked(spark):
+    return spark.createDataFrame([(1, "end <|endoftext|> next"), (2, "<|endoftext|>" * 3000), (3, "plain")],
+                                 "doc_id long, text string")
+
+
+@pytest.mark.parametrize("table", ["docs", "odd", "marked"])
 def test_every_token_is_packed_once(request, table):
     df = request.getfixturevalue(table)
     found = packing.pack_documents(df).collect()
@@ -231,9 +238,9 @@ def test_every_token_is_packed_once(request, table):
             assert r.offset == at
             at += r.length
         assert at <= 2048
-    encode, want = tokens.encoder(), Counter()
+    whole, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Counter()
     for r in df.collect():
-        ids = encode(r.text or "") + (1).to_bytes(4, "little")
+        ids = np.array([*whole.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
         for start in range(0, len(ids) // 4, 2048):
             part = ids[4 * start:4 * (start + 2048)]
             want[(r.doc_id, start, len(part) // 4, zlib.crc32(part), len(ids) // 4)] += 1
