@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,13 +73,21 @@ def text_steps(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         row = end
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a worker is used again by the stages to come, and keeps it else."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in pieces of bounded size: a worker's memory must not follow a batch's."""
     for batch in batches:
         rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
-        pa.default_memory_pool().release_unused()
+        del batch
+        give_back()
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch],

@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words
-from .common import cut, discard, map_batches, spread, text_steps
+from .common import cut, discard, map_batches, schema_with, spread, text_steps
 from .components import components
 
 SIZE = 5
@@ -30,9 +31,11 @@ PERCENT = 75
 #: Coordinates of a point of few shingles. A larger set's point has four times as many, and again, until
 #: there is one for every DENSE shingles: in crowded groups all sets look alike.
 GROUPS, DENSE = 256, 4
-#: Documents looked at to learn which shingles are common, how often a shingle must be among them,
-#: and how many of the most common are told apart. These set the order of shingles, never the result.
-FIT_DOCUMENTS, FIT_LEAST, FIT_SHINGLES = 8_192, 3, 100_000
+#: One document in so many is looked at to learn which shingles are common, how often a shingle must be
+#: among them, and how many of the most common are told apart. The share is the same for any corpus, so the
+#: number of documents that may share a rare shingle does not grow with it. These set the order of shingles,
+#: never the result.
+FIT_ONE_IN, FIT_LEAST, FIT_SHINGLES = 8, 3, 250_000
 #: Shingles that a task compares at once, and points of a leaf.
 BUCKET_SHINGLES, LEAF = 1_000_000, 512
 #: Nodes up to which a list is compared as it is; a longer one is packed into leaves.
@@ -120,10 +123,9 @@ def _nodes(docs: DataFrame, size: int) -> DataFrame:
 def _common(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of common shingles, and the place of each by frequency, the rarest first.
 
-    Learnt from at most about FIT_DOCUMENTS documents, chosen by a hash of their id.
+    Learnt from one document in FIT_ONE_IN, chosen by a hash of their id.
     """
-    one_in = max(1, docs.count() // FIT_DOCUMENTS)
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).select("text")
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(FIT_ONE_IN)) == 0).select("text")
 
     def run(batch):
         sets = list(shingle_sets(batch.column(0), size))
@@ -320,10 +322,10 @@ def _crossing(leaves: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and node of every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id, node and root of every row of ``docs`` (doc_id, text).
 
     Two documents link when 100 * intersection >= ``percent`` * union of their shingle sets;
-    component_id is the least doc_id that links reach. In each list of nodes with a common first
+    component_id is the least doc_id that links reach, root a number for its component. In each list of nodes with a common first
     shingle all are compared with the least node first, and joined into components; in longer lists that
     are still apart, with a few more. Only lists whose nodes are still apart go on: all their pairs across components are bounded by their points, and those
     in reach are compared. So no link between components is lost, and members of one need no pairs.
@@ -339,6 +341,8 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     nodes = cut(rows.where("doc_id IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(
         F.first("point").alias("point"), F.first("n_shingles").alias("n"),
         F.min("doc_id").alias("doc_id")), "points")
+    wide, rows = rows, cut(rows.drop("point"), "nodes")
+    discard(wide)
     shingles = nodes.agg(F.sum("n")).head()[0] or 0
     buckets = max(spread(spark, 16), math.ceil(shingles / 100 * (100 - percent) / BUCKET_SHINGLES))
     lists = _lists(known, size, percent, _common(known, size), buckets)
@@ -393,4 +397,17 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     return placed.join(least, "root", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"),
-        "node")
+        "node", "root")
+
+
+def with_nodes(docs: DataFrame, size: int = SIZE) -> DataFrame:
+    """(row, node): the rows of ``docs`` with the number of their set, null for an empty one."""
+
+    def run(batch):
+        rows = batch.column(0)
+        texts = rows.field(rows.type.get_field_index("text"))
+        return pa.RecordBatch.from_arrays(
+            [rows, pa.array(map(node_of, shingle_sets(texts, size)), pa.int64())], ["row", "node"])
+
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return map_batches(rows, run, schema_with(rows, ("node", T.LongType())))

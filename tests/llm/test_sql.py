@@ -39,3 +39,22 @@ def test_stages_of_odd_rows(spark, odd, none):
 
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_texts_under_one_id_are_judged_each(spark):
+    """Linked texts leave one document, and no unlinked text goes with them."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, text("a")), (2, text("a") + " end"), (2, text("b")), (3, text("c")), (3, text("c") + " end"),
+            (4, text("d")), (4, text("d")), (5, text("e")), (6, text("e")), (None, text("a")), (7, None), (7, None),
+            (7, ""), (8, text("b") + " end")]
+    docs = spark.createDataFrame([(i, t, "r", "n", "k") for i, t in rows], "doc_id long, text string, row string, node string, id string")
+    kept = [(r.doc_id, (r.text or "")[:3]) for r in corpus_pipeline.ngram_jaccard(spark, docs, SF).collect()]
+    assert sorted(kept, key=str) == sorted([(1, "wax"), (2, "wbx"), (3, "wcx"), (4, "wdx"), (5, "wex"), (None, "wax"),
+                                            (7, ""), (7, "")], key=str)
+
+
+def test_packing_of_odd_rows(spark, odd, none):
+    pieces = corpus_pipeline.pack(spark, odd, SF).collect()
+    whole = Counter((r.doc_id, r.doc_tokens) for r in pieces if r.start == 0)
+    assert sum(whole.values()) == odd.count() and whole[None, 1] == 1
+    assert corpus_pipeline.pack(spark, none, SF).count() == 0
