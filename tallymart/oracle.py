@@ -280,6 +280,17 @@ ORACLE = {
     "key_violations_currencies": _with("fx_rates", f"""
         SELECT date_update, currency_code, currency_code_with, CAST(2 AS BIGINT) AS n_rows
         FROM fx_rates WHERE day = {DAY}"""),
+    "load_faults": _with("tx_staging, fx_rates", f"""
+        SELECT 'TRANSACTION' AS object_type, 'repeated_key' AS fault, operation_id || '|' || status AS key,
+               CAST(2 AS BIGINT) AS n_rows
+        FROM tx_staging WHERE load_date = {DAY}
+        UNION ALL
+        SELECT 'CURRENCY', 'repeated_key', CAST(date_update AS VARCHAR) || '|' || currency_code || '|'
+               || currency_code_with, 2
+        FROM fx_rates WHERE day = {DAY}
+        UNION ALL
+        SELECT DISTINCT 'CURRENCY', 'base_to_base', CAST(date_update AS VARCHAR) || '|420|420', 1
+        FROM fx_rates WHERE day = {DAY}"""),
     "staging_layout": _with("tx_staging", """
         SELECT load_date, event_date, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_misplaced,
                CAST(0 AS BIGINT) AS n_unordered

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import on_days
+from ..operators.faults import rate_faults, transaction_faults
 from ..operators.staging import (
     both_present_gate, day_counts, extract_currencies, extract_transactions, invalid_rows,
     row_contract, staged_currencies, staged_transactions, valid_rows,
@@ -18,7 +19,7 @@ from ..schemas import (
     CURRENCIES, CURRENCY, OUTBOX, STAGED_CURRENCIES, STAGED_TRANSACTIONS, STAGING_REJECTS,
     TRANSACTION, TRANSACTIONS,
 )
-from ..sources.folders import oldest_day_row, read_days
+from ..sources.folders import day_folders, oldest_day_row, read_days, read_folders
 from ..sources.tables import Tables, replace_scope
 from .bookmarks import day_to_load, move_past
 
@@ -32,6 +33,8 @@ class ImportResult:
     loaded: list[date]
     skipped: list[date]
     rejects: int
+    #: Rates given twice or from the base currency to itself, over the event days of these loads.
+    rate_faults: int = 0
 
 
 # object type: extractor, contract, stored form, stored schema, table, sort columns
@@ -59,6 +62,29 @@ def _load(outbox: DataFrame, tables: Tables, kind: str, days: list[date], n_mess
     return n_rejects
 
 
+def _event_days(spark: SparkSession, path: str, schema, first: date, last: date) -> DataFrame:
+    """Staged rows of the event days that some loads have rows for, from whatever load."""
+    loads = day_folders(spark, path, ["load_date"], "load_date", first, last)
+    days = [day for folders in loads.values() for folder in folders
+            for day in day_folders(spark, folder, ["event_date"], "event_date")]
+    if not days:
+        return spark.createDataFrame([], schema)
+    found = day_folders(spark, path, ["load_date", "event_date"], "event_date", min(days), max(days))
+    return read_folders(spark, path, schema, [f for day, folders in found.items() if day in days for f in folders])
+
+
+def load_faults(spark: SparkSession, tables: Tables, first: date, last: date, rates_only: bool = False) -> DataFrame:
+    """Faults of the loads from ``first`` to ``last``, also against earlier loads of the same event days.
+
+    Reads key columns of the staged files, not the messages again.
+    """
+    found = rate_faults(_event_days(spark, tables.currencies, STAGED_CURRENCIES, first, last))
+    if rates_only:
+        return found
+    return found.unionByName(transaction_faults(
+        _event_days(spark, tables.transactions, STAGED_TRANSACTIONS, first, last)))
+
+
 def import_days(spark: SparkSession, tables: Tables, first: date, last: date,
                 strict: bool = False, clear_skipped: bool = False,
                 outbox: DataFrame | None = None) -> ImportResult:
@@ -90,7 +116,10 @@ def import_days(spark: SparkSession, tables: Tables, first: date, last: date,
     rejects = sum(_load(outbox, tables, kind, loaded, n_messages[kind], scope, strict)
                   for kind in _KINDS)
     log.info("%d payloads broke the row contract", rejects)
-    return ImportResult(loaded, skipped, rejects)
+    faults = load_faults(spark, tables, loaded[0], loaded[-1], rates_only=True).count() if loaded else 0
+    if faults:
+        log.warning("%d rates are given twice or from the base currency to itself; see load_faults", faults)
+    return ImportResult(loaded, skipped, rejects, faults)
 
 
 def import_day(spark: SparkSession, tables: Tables, strict: bool = False,

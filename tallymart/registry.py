@@ -270,6 +270,19 @@ def key_violations_currencies(spark, sf):
     return keyed.key_violations(rows.unionByName(again), CURRENCY_KEY)
 
 
+def load_faults(spark, sf):
+    """One day loaded again under a later load date, with a rate from the base currency to itself."""
+    tables = _stage(spark, sf, scratch_path(spark, "faults"))
+    again = DAY + timedelta(days=400)
+    this_day, folders_of = F.col("load_date") == F.lit(DAY), datamart.STAGING_FOLDERS
+    later = lambda df: df.where(this_day).withColumn("load_date", F.lit(again))
+    rates = later(fx.rates_staging(spark, sf))
+    itself = rates.limit(1).withColumn("currency_code", F.lit(420)).withColumn("currency_code_with", F.lit(420))
+    append_rows(later(fx.tx_staging(spark, sf)), tables.transactions, folders_of)
+    append_rows(rates.unionByName(itself), tables.currencies, folders_of)
+    return import_day.load_faults(spark, tables, again, again)
+
+
 def staging_layout(spark, sf):
     """Rows per folder, those whose own day is another, and those before an earlier row of their file."""
     path = scratch_path(spark, "layout")
@@ -500,7 +513,7 @@ QUERIES: dict[str, Query] = {
         stored_oldest_days, stored_day_slice,
         oldest_outbox_day, outbox_day_slice, extract_transactions, extract_currencies,
         row_contract, both_present_gate, csv_interchange, csv_interchange_currencies,
-        staging_load, key_violations, key_violations_currencies, staging_layout, bookmark_read,
+        staging_load, key_violations, key_violations_currencies, load_faults, staging_layout, bookmark_read,
         bookmark_upsert, import_days, import_day_bookmark, import_days_currencies, import_rejects,
         oldest_staging_day, drop_test_accounts, latest_status, latest_status_since, done_on_day,
         rates_on_day, convert_to_base, convert_to_base_salted, base_currency_rows, union_branches,

@@ -9,7 +9,7 @@ from tallymart.plans import datamart
 from tallymart.plans.bookmarks import BookmarkMoved, move_past
 from tallymart.plans.compaction import compact_outbox
 from tallymart.plans.datamart import STAGING_FOLDERS, backfill_range, refresh_after_load
-from tallymart.plans.import_day import import_days
+from tallymart.plans.import_day import import_days, load_faults
 from tallymart.operators.keyed import keyed_upsert
 from tallymart.operators.propagation import displaced_days
 from tallymart.schemas import (
@@ -315,3 +315,20 @@ def test_a_batch_that_died_is_stored_once(spark, tmp_path, monkeypatch, place):
     monkeypatch.undo()
     keyed.start_keyed_store(spark, tables, f"{checkpoint}/store", once=True).awaitTermination()
     assert stored(spark, tables) == ({(1, "first"), (2, "first")}, {(0, 3, "bad_json"), (1, 3, "bad_json")})
+
+
+def test_import_warns_of_doubled_rates(spark, tmp_path):
+    tables = Tables(str(tmp_path))
+    rate = '{"date_update": "2022-10-01 00:00:00", "currency_code": %d, "currency_code_with": 420, "currency_with_div": 2}'
+    payment = ('{"operation_id": "%032x", "account_number_from": 1, "account_number_to": 2, "currency_code": 430, "country": "c",'
+               ' "status": "done", "transaction_type": "t", "amount": 5, "transaction_dt": "2022-10-01 01:00:00"}')
+    at_noon = "timestamp_ntz '2022-10-01 12:00:00'"
+    rows = [("CURRENCY", rate % 430), ("CURRENCY", rate % 430), ("CURRENCY", rate % 420), ("CURRENCY", rate % 440),
+            ("TRANSACTION", payment % 1), ("TRANSACTION", payment % 1), ("TRANSACTION", payment % 2)]
+    outbox = spark.createDataFrame([(str(i), *r) for i, r in enumerate(rows)], "object_id string, object_type string, payload string")
+    outbox = outbox.withColumns({"sent_dttm": F.expr(at_noon), "load_src": F.lit("s"), "sent_date": F.expr(f"DATE({at_noon})")})
+    append_rows(outbox.select(*OUTBOX.names), tables.outbox, ["sent_date"])
+    assert import_days(spark, tables, DAYS[0], DAYS[0]).rate_faults == 2
+    found = {(r.object_type, r.fault, r.n_rows) for r in load_faults(spark, tables, DAYS[0], DAYS[0]).collect()}
+    assert found == {("CURRENCY", "repeated_key", 2), ("CURRENCY", "base_to_base", 1), ("TRANSACTION", "repeated_key", 2)}
+    assert load_faults(spark, tables, DAYS[1], DAYS[1]).collect() == []
