@@ -98,7 +98,9 @@ def test_later_runs_go(docs):
         assert found[key].text == "\n".join(x for i, x in enumerate(lines) if i not in gone[key])
 
 
-def test_runs_go_whichever_earlier_place_has_them(spark):
+@pytest.mark.parametrize("few", [1, 6, 1000])
+def test_runs_go_whichever_earlier_place_has_them(spark, monkeypatch, few):
+    monkeypatch.setattr(line_dedup, "FEW_PLACES", few)
     rng = np.random.default_rng(7)
     shared = ["a " * 60, "b b", "c", "", "d " * 9, "e " * 30, "f " * 25, " "]
     texts = [(1, "a " * 60 + "\nother"), (2, "a " * 60 + "\nb b\nc"), (3, "a " * 60 + "\nb b\nc\nown"),
@@ -111,6 +113,25 @@ def test_runs_go_whichever_earlier_place_has_them(spark):
         assert found[key].text == "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone[key])
 
 
+def test_selected_lines_are_few_and_in_every_window():
+    rng = np.random.default_rng(5)
+    words, hashes = rng.integers(1, 12, 3000), rng.integers(-2**62, 2**62, 3000).tolist()
+    selected = line_dedup.select(hashes, words, 50)
+    assert len(selected) < 1200
+    for first in range(3000):
+        last = first + int(np.searchsorted(np.cumsum(words[first:]), 50))
+        if last < 3000:
+            least = min(range(first, last + 1), key=lambda i: hashes[i])
+            assert selected[least][0] <= first and last <= selected[least][1]
+
+
+def test_no_line_goes_from_its_first_place(spark):
+    p, q, r = (" ".join(f"{x}{i}" for i in range(30)) for x in "pqr")
+    rows = [(1, f"{p}\n{q}"), (2, f"{p}\n{q}\n{r}"), (3, f"{q}\n{r}"), (4, "\n".join(["same " * 30] * 4))]
+    found = line_dedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: x.text for x in found} == {1: rows[0][1], 2: r, 3: "", 4: "same " * 30}
+
+
 def test_line_dedup_of_odd_rows(odd, none):
     found = line_dedup.deduplicate_lines(odd)
     assert found.columns == [*odd.columns, "n_lines", "n_deleted"]
