@@ -16,14 +16,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words
-from .common import schema_with, slices, text_steps
+from .common import cut, discard, schema_with, slices, text_steps
 from .fm_index import FmIndex
 
 WINDOW = 13
 #: A document is contaminated if this many times its hit words reach its words.
 ONE_IN = 20
-#: Words of benchmark items that one pass searches for. A larger benchmark takes more passes.
-PASS_WORDS = 500_000
+#: Pairs of a phrase and an item that one pass searches for. A larger benchmark takes more passes.
+PASS_PHRASES = 200_000
+#: Phrases that are handed to Spark at once.
+STEP_PHRASES = 20_000
+
+_MADE = ("n_words", "n_hit", "items", "spans")
+_SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
 def _words(texts: pa.Array):
@@ -38,20 +43,21 @@ def _words(texts: pa.Array):
 
 
 class Phrases:
-    """The distinct phrases of some items: symbols of their words, and the items each stands for."""
+    """Some distinct phrases: symbols of their words, and the items each stands for.
+
+    They are given as pairs of an item and the hashes of the phrase's words.
+    """
 
-    def __init__(self, items: list[tuple[str, np.ndarray]], window: int):
-        self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *[w for _, w in items]]))
+    def __init__(self, pairs: list[tuple[str, bytes]], window: int):
         found: dict[bytes, set[str]] = {}
-        for item, hashed in items:
-            symbols = self.symbols(hashed)
-            for i in range(max(1, len(symbols) - window + 1) if len(symbols) else 0):
-                found.setdefault(symbols[i:i + window].tobytes(), set()).add(item)
+        for item, phrase in pairs:
+            found.setdefault(phrase, set()).add(item)
+        self.vocabulary = np.unique(np.frombuffer(b"".join(found), np.uint64))
         self.items = [sorted(names) for names in found.values()]
         self.lengths = np.array([len(p) // 8 for p in found], np.int64)
         self.patterns = np.zeros((len(found), window), np.int64)
         for row, pattern in enumerate(found):
-            self.patterns[row, :self.lengths[row]] = np.frombuffer(pattern, np.int64)
+            self.patterns[row, :self.lengths[row]] = self.symbols(np.frombuffer(pattern, np.uint64))
         self.least = int(self.lengths.min()) if len(found) else 0
 
     def symbols(self, hashed: np.ndarray) -> np.ndarray:
@@ -104,18 +110,70 @@ def _code_points(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     return before[places]
 
 
-def _passes(benchmark: DataFrame, window: int) -> list[Phrases]:
-    """Phrases of all items, in passes of about PASS_WORDS words; null items and texts have none."""
-    texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(
-        "item_id IS NOT NULL AND text IS NOT NULL")
-    length = texts.agg(F.sum(F.length("text"))).head()[0] or 0
-    n = max(1, math.ceil(length / 6 / PASS_WORDS))
-    passes = []
-    for k in range(n):
-        rows = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
-        found = list(_words(pa.array([r.text for r in rows], pa.string())))
-        passes.append(Phrases([(rows[i].item_id, hashed) for i, hashed, *_ in found], window))
-    return passes
+def _pairs(benchmark: DataFrame, window: int) -> DataFrame:
+    """item and phrase (hashes of its words), each pair once; null items and texts have none."""
+
+    def run(batches):
+        for batch in batches:
+            items = batch.column(0)
+            for row, hashed, *_ in _words(batch.column(1)):
+                n = max(1, len(hashed) - window + 1) if len(hashed) else 0
+                for start in range(0, n, STEP_PHRASES):
+                    phrases = [hashed[i:i + window].tobytes() for i in range(start, min(n, start + STEP_PHRASES))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(items[row], len(phrases)), pa.array(phrases, pa.binary())], ["item", "phrase"])
+
+    texts = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where(
+        "item IS NOT NULL AND text IS NOT NULL")
+    return cut(texts.mapInArrow(run, "item string, phrase binary").distinct(), "phrases")
+
+
+def _search(docs: DataFrame, phrases: Phrases, text: str, spans: bool) -> DataFrame:
+    """``docs`` with _hit (first and last of each stretch of hit words) and items, added to what they have;
+    n_words, n_hit and spans too if asked for.
+    """
+    runs = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
+    before = "_hit" in docs.columns
+    kept = [c for c in docs.columns if c not in ("_hit", "items")]
+    schema = schema_with(docs.select(*kept), ("items", T.ArrayType(T.StringType())), *(
+        (("n_words", T.LongType()), ("n_hit", T.LongType()), ("spans", _SPANS)) if spans
+        else (("_hit", runs),)))
+    names, at = docs.columns, docs.columns.index(text)
+
+    def stretches(hit):
+        change = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
+        return change[::2], change[1::2] - 1
+
+    def run(batches):
+        for batch in slices(batches):
+            found = list(_words(batch.column(at)))
+            results = search_shard(phrases, [hashed for _, hashed, *_ in found])
+            if before:
+                seen = zip(batch.column(names.index("_hit")).to_pylist(), batch.column(names.index("items")).to_pylist())
+                for (hit, items), (old_runs, old_items) in zip(results, seen):
+                    items.update(old_items)
+                    for old in old_runs:
+                        hit[old["first"]:old["last"] + 1] = True
+            columns = [pa.array([sorted(items) for _, items in results], pa.list_(pa.string()))]
+            if spans:
+                places = []
+                for (_, _, starts, ends, data), (hit, _) in zip(found, results):
+                    first, last = stretches(hit)
+                    ends_of = np.stack([starts[first], ends[last]], 1)
+                    places.append([{"start": int(a), "end": int(b)}
+                                   for a, b in _code_points(data, ends_of).tolist()] if len(first) else [])
+                columns += [
+                    pa.array([len(hit) for hit, _ in results], pa.int64()),
+                    pa.array([int(hit.sum()) for hit, _ in results], pa.int64()),
+                    pa.array(places, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
+            else:
+                columns.append(pa.array(
+                    [[{"first": int(a), "last": int(b)} for a, b in zip(*stretches(hit))] for hit, _ in results],
+                    pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))))
+            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(c)) for c in kept), *columns],
+                                             schema.fieldNames())
+
+    return docs.mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -126,42 +184,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     last word of a stretch of hit words. Words are runs of ASCII digits and letters, A-Z as a-z, and
     of all characters beyond ASCII. A null or empty text has no words and no hits; an empty benchmark
     hits nothing; items of equal text are all named. Other columns stay; columns called like a result
-    are replaced. A slice of an Arrow batch is a shard.
-    """
-    made = ("n_words", "n_hit", "items", "spans")
-    docs = docs.select(*[c for c in docs.columns if c not in made])
-    passes = _passes(benchmark, window)
-    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    schema = schema_with(
-        docs, ("n_words", T.LongType()), ("n_hit", T.LongType()),
-        ("items", T.ArrayType(T.StringType())), ("spans", T.ArrayType(span)))
-    at = docs.columns.index(text)
-
-    def run(batches):
-        for batch in slices(batches):
-            found = list(_words(batch.column(at)))
-            documents = [hashed for _, hashed, *_ in found]
-            hits = [np.zeros(len(hashed), bool) for hashed in documents]
-            items = [set() for _ in documents]
-            for phrases in passes:
-                for number, (hit, names) in enumerate(search_shard(phrases, documents)):
-                    hits[number] |= hit
-                    items[number] |= names
-            spans = []
-            for (_, _, starts, ends, data), hit in zip(found, hits):
-                change = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
-                places = [*zip(starts[change[::2]], ends[change[1::2] - 1])]
-                spans.append([{"start": int(a), "end": int(b)} for a, b in
-                              _code_points(data, np.array(places)).tolist()] if places else [])
-            columns = [
-                pa.array([len(d) for d in documents], pa.int64()),
-                pa.array([int(h.sum()) for h in hits], pa.int64()),
-                pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-                pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns],
-                                             [*batch.schema.names, *made])
+    or ``_hit`` are replaced. A slice of an Arrow batch is a shard.
 
-    return docs.mapInArrow(run, schema)
+    The phrases come to the driver, and from there to the tasks, PASS_PHRASES at a time. With more than
+    one pass each writes the documents with what it has found for the next.
+    """
+    docs = docs.select(*[c for c in docs.columns if c not in (*_MADE, "_hit")])
+    pairs = _pairs(benchmark, window)
+    n = max(1, math.ceil(pairs.count() / PASS_PHRASES))
+    found, stored = docs, []
+    for k in range(n):
+        rows = pairs.where(F.pmod(F.xxhash64("item", "phrase"), F.lit(n)) == k).toArrow()
+        phrases = Phrases(list(zip(*(rows.column(c).to_pylist() for c in ("item", "phrase")))), window)
+        found = _search(found, phrases, text, spans=k == n - 1)
+        if k < n - 1:
+            found = cut(found, "hits")
+            discard(*stored)
+            stored = [found]
+    discard(pairs)
+    return found.select(*docs.columns, *_MADE)
 
 
 def contaminated(n_hit="n_hit", n_words="n_words", one_in: int = ONE_IN):

@@ -20,10 +20,10 @@ from .common import map_batches, schema_with, text_steps
 
 UNDETERMINED = "und"
 ORDERS, BITS = (2, 3, 4), 13
-#: Labelled documents of each language that are learnt from, the first ones by a hash of their id.
-FIT_DOCUMENTS = 400
-#: Languages that are learnt, the most frequent ones.
-FIT_LANGUAGES = 200
+#: Labelled documents that are learnt from: of one language at most, and of all (one of each at least).
+FIT_DOCUMENTS, FIT_ALL = 400, 10_000
+#: Counts of languages up to this number are sent to the scan of the texts.
+SENT_LANGUAGES = 100_000
 #: Features are shares times this; weight of the squares of the weights; steps of the fit.
 SCALE, PENALTY, ROUNDS = 30.0, 1e-4, 120
 
@@ -69,10 +69,9 @@ def _svm(features: np.ndarray, positive: np.ndarray) -> np.ndarray:
         short = np.maximum(0, 1 - sign * (features @ w[:-1] + w[-1])) * sign * weight
         return np.append(PENALTY * w[:-1] - 2 * short @ features, -2 * short.sum())
 
-    curve = 2 * (np.sqrt(weight)[:, None] * features).astype(np.float32)
     top = np.ones(features.shape[1], np.float32)
     for _ in range(15):  # the largest curvature, by power iteration
-        top = curve.T @ (curve @ top)
+        top = 4 * ((weight * (features @ top)) @ features)
         size = float(np.linalg.norm(top))
         top /= max(size, 1e-12)
     return ngrams.descend(gradient, features.shape[1] + 1, ROUNDS, 1 / (size / 2 + 2.5 + PENALTY))
@@ -138,28 +137,34 @@ class Model:
         return predicted, score
 
 
-def fit(labelled: DataFrame, languages: int = FIT_LANGUAGES, documents: int = FIT_DOCUMENTS) -> Model | None:
+def fit(labelled: DataFrame, documents: int = FIT_DOCUMENTS, total: int = FIT_ALL) -> Model | None:
     """A model from ``labelled`` (doc_id, text, lang); None if there is no labelled text.
 
-    It learns from at most ``documents`` documents of each of at most ``languages`` languages, whose
-    counts come to the driver. Counting and choosing look at ids and languages only.
+    It learns every language, from at most ``documents`` documents each and about ``total`` of all, the first
+    by a hash of id and text; repeated rows are one. Their counts of n-grams come to the driver.
     """
-    ids = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang")
-    frequent = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
-    chance = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (ids.join(F.broadcast(frequent.select("lang")), "lang")
-              .withColumn("_n", F.row_number().over(chance)).where(F.col("_n") <= documents)
-              .select("doc_id"))
-    rows = labelled.join(F.broadcast(chosen.distinct()), "doc_id", "left_semi")  # a bounded sample
+    labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("_n")).cache()
+    n = counts.count()
+    documents = max(1, min(documents, total // max(1, n)))
+    chance = F.xxhash64("doc_id", "text")
+    # a share that holds the first ones all but surely, so that no task gets more than a few times as many
+    bound = F.least(F.lit(1.0), (2.0 * documents + 50) / F.col("_n")) * 2.0**64 - 2.0**63
+    near = labelled.select("text", "lang", chance.alias("_chance")).join(
+        F.broadcast(counts) if n <= SENT_LANGUAGES else counts, "lang").where(F.col("_chance") <= bound)
 
     def run(batch):
-        found = list(_counts(batch.column(1)))
+        found = list(_counts(batch.column(2)))
         return pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array((k.tobytes() for k, _ in found), pa.binary()),
-            pa.array((v.tobytes() for _, v in found), pa.binary())], ["lang", "buckets", "shares"])
-
-    rows = map_batches(rows.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text"), run,
-                       "lang string, buckets binary, shares binary").collect()
+            batch.column(0), batch.column(1), pa.array((k.tobytes() for k, _ in found), pa.binary()),
+            pa.array((v.tobytes() for _, v in found), pa.binary())], ["lang", "_chance", "buckets", "shares"])
+
+    found = map_batches(near.select("lang", "_chance", "text"), run,
+                        "lang string, _chance long, buckets binary, shares binary")
+    first = F.row_number().over(W.partitionBy("lang").orderBy("_chance"))
+    rows = (found.dropDuplicates(["lang", "_chance"]).withColumn("_first", first)
+            .where(F.col("_first") <= documents).collect())
+    counts.unpersist()
     if not rows:
         return None
     features = np.zeros((len(rows), 1 << BITS), np.float32)

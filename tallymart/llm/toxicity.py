@@ -123,7 +123,8 @@ def _weighed(rows: list, ratios: np.ndarray, chosen: np.ndarray) -> Model:
 def fit(labelled: DataFrame) -> Model:
     """A model from ``labelled`` (doc_id, text, label 0 or 1).
 
-    Counts and ratios are those of all rows; weights are fitted on at most FIT_DOCUMENTS of them. Rows
+    Counts and ratios are those of all rows; weights are fitted on at most FIT_DOCUMENTS of them, chosen
+    by a hash of id and text; repeated rows are one there. Rows
     without a label are left out; without rows of both labels every score is the share of label 1
     (one half if there is none).
     """
@@ -137,20 +138,22 @@ def fit(labelled: DataFrame) -> Model:
     both = counts.sum(0) / rows.sum()
     spread = np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / rows[0] + 1 / rows[1]))
     apart = np.abs(counts[1] / rows[1] - counts[0] / rows[0]) / spread
-    chosen = np.argsort(-apart, kind="stable")[:FEATURES]
-    chosen = np.sort(chosen[(counts.sum(0)[chosen] > 0) & (apart[chosen] >= DEVIATIONS)
-                            & (np.abs(ratios[chosen]) >= RATIO)])
+    able = np.flatnonzero((counts.sum(0) > 0) & (apart >= DEVIATIONS) & (np.abs(ratios) >= RATIO))
+    chosen = np.sort(able[np.argsort(-apart[able], kind="stable")[:FEATURES]])
     keep = np.zeros(1 << BITS, bool)
     keep[chosen] = True
-    bounded = labelled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS)
-    sample = labelled.join(F.broadcast(bounded.distinct()), "doc_id", "left_semi")
+    chance, share = F.xxhash64("doc_id", "text"), 0.95 * FIT_DOCUMENTS / rows.sum()
+    sample = labelled.withColumn("_chance", chance)
+    if share < 0.95:  # else there are no more rows than that
+        sample = sample.where(F.col("_chance") < int(2.0**64 * share) - 2**63)
 
     def run(batch):
         found = [b[keep[b]].astype("<i4").tobytes() for b in _present(batch.column(0))]
-        return pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.binary())],
-                                          ["label", "buckets"])
+        return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.binary())],
+                                          ["label", "_chance", "buckets"])
 
-    sample = map_batches(sample.select("text", "label"), run, "label int, buckets binary").collect()
+    sample = map_batches(sample.select("text", "label", "_chance"), run, "label int, _chance long, buckets binary")
+    sample = sample.dropDuplicates(["label", "_chance"]).limit(FIT_DOCUMENTS).collect()
     return _weighed(sample, ratios, chosen)
 
 
