@@ -91,7 +91,9 @@ def find_secrets(docs: DataFrame, repository: str = "source", owners: int = EXAM
 
     ``found`` has kind, start, end (code points, end exclusive), n_repositories and n_owners of its
     value, and live: fewer than ``owners`` owners have the value. Opaque strings that are not live are
-    left out; other kinds stay. A null text has none; a null repository counts as one owner of no name.
+    left out; other kinds stay. A null or empty text has none, a very long one is scanned whole; a null
+    repository counts as one owner of no name. Repeated rows are found each and are one owner. Other columns
+    are ignored, whatever their names. No rows give no rows.
     """
     named = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"),

@@ -85,6 +85,34 @@ def test_shards_of_nothing(none):
     assert shards(none) == []
 
 
+def test_shards_keep_columns_of_any_name(spark):
+    names = ["size", "_part", "_tie", "before", "total", "shard", "row", "n"]
+    rows = [(i, 10 + i % 3, f"p{i}", f"t{i}", i, None, "old", f"r{i}", i) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(
+        f"{c} {k}" for c, k in zip(names, ["long", "string", "string", "long", "long", "string", "string", "long"])))
+    placed = sharding.byte_shards(df, ["id"], "size", 40)
+    assert placed.columns == ["id", "size", "_part", "_tie", "before", "total", "row", "n", "shard", "slot"]
+    found = placed.orderBy("id").collect()
+    assert [r[:8] for r in found] == [r[:6] + r[7:] for r in rows]
+    by = defaultdict(list)
+    for r in found:
+        by[r.shard].append(r)
+    assert sorted(by) == list(range(40))
+    sizes = [sum(r["size"] for r in by[k]) for k in range(40)]
+    assert max(sizes) - min(sizes) <= 2 * 12
+    assert all([r.slot for r in by[k]] == list(range(len(by[k]))) for k in by)
+
+
+def test_shards_with_null_sizes_and_one_key(spark):
+    df = spark.createDataFrame([(7, None if i % 5 == 0 else 3) for i in range(400)], "id long, size int")
+    found = sharding.byte_shards(df, ["id"], "size", 10).collect()
+    assert Counter(r["size"] for r in found) == Counter({None: 80, 3: 320})
+    for k in range(10):
+        members = [r for r in found if r.shard == k]
+        assert sorted(r.slot for r in members) == list(range(len(members)))
+        assert 90 <= sum(r["size"] or 0 for r in members) <= 102
+
+
 # --- 3: line dedup --------------------------------------------------------------------------
 
 def test_later_runs_go(docs):
