@@ -6,6 +6,7 @@ import logging
 import math
 from dataclasses import dataclass
 from datetime import date
+from itertools import accumulate
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -49,11 +50,13 @@ def compact_outbox(spark: SparkSession, tables: Tables, first: date | None = Non
         parts.append((day, n_parts))
         days.append(Compacted(day, len(files), len(files) - len(small) + n_parts))
     if old:
-        wanted = F.broadcast(spark.createDataFrame(parts, "sent_date date, parts int"))  # a row per day
-        part = F.pmod(F.xxhash64("object_id"), F.col("parts"))
-        n_tasks = sum(n for _, n in parts)
+        starts = list(accumulate((n for _, n in parts), initial=0))
+        numbered = [(*part, start) for part, start in zip(parts, starts)]
+        wanted = F.broadcast(spark.createDataFrame(numbered, "sent_date date, parts int, start int"))  # a row per day
+        # One task writes one file. Dealt by hash of the day, several would fall to one task.
+        task = F.col("start") + F.pmod(F.xxhash64("object_id"), F.col("parts")).cast("int")
         rows = (read_folders(spark, tables.outbox, OUTBOX, old).join(wanted, "sent_date")
-                .withColumn("part", part).repartition(n_tasks, "sent_date", "part")
+                .repartitionById(starts[-1], task)
                 .sortWithinPartitions("sent_date", "object_type", "sent_dttm").select(*OUTBOX.names))
         replace_files(rows, tables.outbox, ["sent_date"], old)
     log.info("%d files of %d days replaced", len(old), len(days))

@@ -23,6 +23,7 @@ from .streaming import keyed as keyed_stream
 from .streaming.ingest import ingest_available, read_batches
 
 DAY = date(2024, 1, 15)
+DAY_TASKS = 31
 TEXT_ENVELOPE = ["partition", "offset", "object_id", "object_type", "sent_dttm", "payload", "reason"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,10 +111,11 @@ def keyed_ingest_rejects(spark, sf):
 
 
 def _compacted(spark, sf) -> Tables:
-    """An outbox of many small files, merged twice."""
+    """An outbox of many small files, merged twice. A task writes the file of one lot for a day in DAY_TASKS."""
     tables = Tables(scratch_path(spark, "compact"))
-    rows = fx.fx_outbox(spark, sf).withColumn("lot", F.pmod(F.xxhash64("object_id"), F.lit(6)))
-    rows.repartition(6, "lot").drop("lot").write.partitionBy("sent_date").parquet(tables.outbox)
+    lot = F.pmod(F.xxhash64("object_id"), F.lit(6)).cast("int")
+    task = lot * DAY_TASKS + F.pmod(F.unix_date("sent_date"), F.lit(DAY_TASKS))
+    fx.fx_outbox(spark, sf).repartitionById(6 * DAY_TASKS, task).write.partitionBy("sent_date").parquet(tables.outbox)
     for _ in range(2):
         compaction.compact_outbox(spark, tables, least_files=2)
     return tables

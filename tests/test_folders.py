@@ -106,6 +106,22 @@ def test_compaction(spark, tables):
     assert children(spark, f"{tables.outbox}/{folders.SWAP}") == []
 
 
+def test_compaction_gives_each_new_file_a_task(spark, tmp_path):
+    """Dealt by hash of the day, several days would fall to one task and others would get none."""
+    tables = Tables(str(tmp_path))
+    rows = spark.range(400).selectExpr(
+        "uuid() AS object_id", "'TRANSACTION' AS object_type", "timestamp_ntz'2022-10-01 00:00:00' AS sent_dttm",
+        "'{}' AS payload", "'x' AS load_src", "date_add(date'2022-10-01', CAST(id % 20 AS int)) AS sent_date")
+    for _ in range(2):
+        rows.coalesce(1).write.mode("append").partitionBy("sent_date").parquet(tables.outbox)
+    assert len(compact_outbox(spark, tables, least_files=2)) == 20
+    files = [path for found in day_folders(spark, tables.outbox, ["sent_date"], "sent_date").values()
+             for folder in found for path, _ in data_files(spark, folder)]
+    tasks = {path.rsplit("/", 1)[1].split("-")[1] for path in files}
+    assert len(files) == len(tasks) == 20
+    assert read_table(spark, tables.outbox, OUTBOX).count() == 800
+
+
 def test_several_files_of_a_large_day(spark, tables):
     size = sum(n for _, n in data_files(spark, f"{tables.outbox}/sent_date=2022-10-01"))
     done = compact_outbox(spark, tables, DAYS[0], DAYS[0], target_bytes=size // 2)
