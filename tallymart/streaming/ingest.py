@@ -17,6 +17,10 @@ from ..sources.tables import Tables, append_rows, read_table
 log = logging.getLogger(__name__)
 
 
+#: Tasks that parse a batch, for each core.
+TASKS_PER_CORE = 3
+
+
 def _ranges(typed: DataFrame) -> list[tuple]:
     """For each topic and partition: first and last offset, messages, rejected ones."""
     topic = F.coalesce("topic", F.lit("")) if "topic" in typed.columns else F.lit("")
@@ -36,8 +40,12 @@ def store_batch(batch: DataFrame, tables: Tables, batch_id: int | None = None, s
     is run again after a failure, or a topic read again from its start, changes nothing.
 
     Files are sorted by type, so that an import of rates skips the row groups of transactions.
+
+    A file, or a partition of a topic, may come as one task however large it is. Parsing is most of the work,
+    so the messages are dealt out before it.
     """
     spark = batch.sparkSession
+    batch = batch.repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     # Kept for the two writes; the raw text only where it is stored. A lost block is computed again.
     typed = (read_envelope(batch)
              .withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))

@@ -8,6 +8,7 @@ import pytest
 from tallymart.schemas import MESSAGE_REJECTS, MESSAGES, OUTBOX
 from tallymart.sources.files import file_messages
 from tallymart.sources.tables import Tables, read_table
+from tallymart.streaming import ingest
 from tallymart.streaming.ingest import ingest_available, start_ingest, store_batch
 
 
@@ -110,3 +111,19 @@ def test_batch_run_again_after_half_of_it_was_stored(spark, tmp_path):
     assert outbox == {(1, "first"), (2, "first")} and len(rejects) == 2
     days = {row.sent_date for row in read_table(spark, tables.outbox, OUTBOX).collect()}
     assert days == {date(2022, 10, 1)}
+
+
+def test_one_file_is_parsed_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A batch of one row group comes as one task; its messages are dealt out before they are parsed."""
+    folder, sizes, plain = str(tmp_path / "inbox"), [], ingest.read_envelope
+    drop_in(spark, folder, [(message(n, "x"), 0, n) for n in range(200)])
+
+    def watched(messages):
+        sizes.append([len(part) for part in messages.rdd.glom().collect()])
+        return plain(messages)
+
+    monkeypatch.setattr(ingest, "read_envelope", watched)
+    tables = Tables(str(tmp_path / "t"))
+    run(spark, folder, tables, str(tmp_path / "c"))
+    assert len(stored(spark, tables)[0]) == 200
+    assert [sum(s) for s in sizes] == [200] and max(sizes[0]) <= 50
