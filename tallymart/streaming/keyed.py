@@ -40,6 +40,8 @@ _STATE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+#: Spark turns this off for a query with state, and with it the layout of written files by their size.
+_BY_SIZE = {"spark.sql.adaptive.enabled": "true"}
 
 
 @contextmanager
@@ -61,7 +63,12 @@ def _trigger(once: bool, interval: str) -> dict:
 
 def start_landing(messages: DataFrame, tables: Tables, checkpoint: str, once: bool = False,
                   interval: str = BATCH_INTERVAL) -> StreamingQuery:
-    """Typed messages, sound or not, in one folder per batch; the file sink writes each batch once."""
+    """Typed messages, sound or not, in one folder per batch; the file sink writes each batch once.
+
+    A file, or a partition of a topic, may come as one task however large it is, so the messages are dealt
+    out before they are parsed: a batch has one file for each core.
+    """
+    messages = messages.repartition(messages.sparkSession.sparkContext.defaultParallelism)
     topic = F.coalesce("topic", F.lit("")) if "topic" in messages.columns else F.lit("")
     typed = read_envelope(messages).withColumn("topic", topic)
     bad = F.col("reason").isNotNull()
@@ -116,13 +123,14 @@ class _Store:
 
     def _append(self, rows: DataFrame, exact: bool) -> None:
         spark, tables = rows.sparkSession, self.tables
+        n_good, n_bad = rows.agg(F.count_if(F.col("reason").isNull()), F.count("reason")).first()
         good = rows.where(F.col("reason").isNull()).select(*OUTBOX.names, "partition", "offset")
         bad = rejected(rows)
         if exact:
             position = ("topic", "partition", "offset")
-            good = insert_if_absent(good, read_table(spark, tables.outbox, OUTBOX))
+            good = insert_if_absent(good, read_table(spark, tables.outbox, OUTBOX), batch_rows=n_good)
             bad = insert_if_absent(bad, read_table(spark, tables.message_rejects, MESSAGE_REJECTS),
-                                   keys=position, order=position)
+                                   keys=position, order=position, batch_rows=n_bad)
         append_rows(good.select(*OUTBOX.names), tables.outbox, ["sent_date"], ["object_type", "sent_dttm"])
         append_rows(bad, tables.message_rejects)
 
@@ -131,7 +139,12 @@ class _Store:
         if self._is_stored(spark, batch_id):
             fresh.write.format("noop").mode("overwrite").save()  # the state still has to take the batch in
             return
+        with _set(spark, _BY_SIZE):
+            self._store(spark, fresh, batch_id)
+
+    def _store(self, spark: SparkSession, fresh: DataFrame, batch_id: int) -> None:
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = None
         try:
             lots = fresh.groupBy("landed").count().collect()  # no more than files in a batch
             n_new = sum(lot["count"] for lot in lots)
@@ -141,12 +154,15 @@ class _Store:
                 landed = read_folders(spark, self.tables.landing, LANDED,
                                       [f"{self.tables.landing}/landed={lot.landed}" for lot in lots])
                 rows = landed.withColumn("key", _key()).join(fresh, ["key", *POSITION], "left_semi")
-                # A landing task that was run again may have left its rows twice.
-                self._append(first_per_key(rows, ["key"], POSITION).drop("key"), exact)
+                # A landing task that was run again may have left its rows twice. Kept for the two writes.
+                rows = first_per_key(rows, ["key"], POSITION).drop("key").persist(StorageLevel.MEMORY_AND_DISK)
+                self._append(rows, exact)
             spark.range(1).select(F.lit(n_new).cast("long").alias("n_new")).write.mode("overwrite").parquet(
                 f"{self.stored_batches}/batch={batch_id}")
             self.state_knows_all = not exact
         finally:
+            if rows is not None:
+                rows.unpersist()
             fresh.unpersist()
 
 

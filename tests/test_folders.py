@@ -23,7 +23,7 @@ from tallymart.sources.folders import (
 from tallymart.sources.tables import Tables, append_rows, read_table
 from tallymart.streaming import keyed
 from tests.test_mart import D1, D2, D3, at, rates, result, tx
-from tests.test_streaming import FIRST, REJECTS, SECOND, WANT, drop_in, stored
+from tests.test_streaming import FIRST, REJECTS, SECOND, WANT, drop_in, message, stored
 
 DAYS = [date(2022, 10, n) for n in (1, 2, 3)]
 
@@ -290,6 +290,27 @@ def test_keys_are_looked_up_in_state_only(spark, tmp_path, monkeypatch):
     assert stored(spark, tables) == (WANT, REJECTS)
 
 
+def test_landing_parses_one_file_by_many_tasks(spark, tmp_path):
+    tables, inbox = Tables(str(tmp_path / "t")), str(tmp_path / "inbox")
+    drop_in(spark, inbox, [(message(n, "x"), 0, n) for n in range(200)])
+    keyed.start_landing(file_messages(spark, inbox), tables, str(tmp_path / "c"), once=True).awaitTermination()
+    landed = spark.read.parquet(tables.landing).groupBy("_metadata.file_name").count().collect()
+    assert sum(row["count"] for row in landed) == 200 and max(row["count"] for row in landed) <= 100
+
+
+def test_keyed_batch_is_joined_once_and_written_by_size(spark, tmp_path, monkeypatch):
+    """New rows are found once for outbox and rejects, and a small day gets one file, not one from each task."""
+    tables, inbox = Tables(str(tmp_path / "t")), str(tmp_path / "inbox")
+    drop_in(spark, inbox, [(message(n, "x"), 0, n) for n in range(200)] + [("not json", 0, 200)])
+    kept, plain = [], keyed._Store._append
+    monkeypatch.setattr(keyed._Store, "_append", lambda self, rows, exact: (
+        kept.append(rows.storageLevel.useMemory), plain(self, rows, exact)))
+    keyed.ingest_keyed_available(spark, file_messages(spark, inbox), tables, str(tmp_path / "c"))
+    outbox, rejects = stored(spark, tables)
+    assert len(outbox) == 200 and len(rejects) == 1 and kept == [True]
+    assert len(data_files(spark, f"{tables.outbox}/sent_date=2022-10-01")) == 1
+
+
 def test_lost_checkpoint_goes_by_the_outbox_until_state_knows_all(spark, tmp_path, monkeypatch):
     tables, inbox = Tables(str(tmp_path / "t")), str(tmp_path / "inbox")
     drop_in(spark, inbox, FIRST)
