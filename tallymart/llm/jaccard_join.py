@@ -42,6 +42,8 @@ BUCKET_SHINGLES, LEAF = 1_000_000, 512
 SHORT_LIST = 6
 #: Members of a longer list that all others are compared with before its leaves are.
 CENTRES = 8
+#: Lists, the least by name, that a point is known to be in. They spare pairs met before, never the result.
+KNOWN_LISTS = 16
 #: Document ids up to this number are sent to the scan of the texts; more are joined by shuffle.
 SENT_IDS = 1_000_000
 
@@ -262,32 +264,40 @@ def _leaves(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
     A size band spans one step of the threshold, so partners are in the same or the next band; a
     band with more than LEAF points is dealt over several leaves by hash. Points join last, as they
-    are wide, and a leaf keeps a byte for a count where that holds all of its counts.
+    are wide, and a leaf keeps a byte for a count where that holds all of its counts. A point comes with
+    the first of its lists.
     """
+    first = F.slice(F.sort_array(F.collect_set("list")), 1, KNOWN_LISTS).alias("first")
+    known = nodes.select("node", "point").join(rows.groupBy("node").agg(first), "node")
     ids = rows.groupBy("list", "band").agg(F.ceil(F.count("*") / F.lit(LEAF)).alias("leaves"))
     dealt = rows.join(ids, ["list", "band"]).withColumn(
-        "leaf", F.expr("pmod(xxhash64(node), leaves)")).join(nodes.select("node", "point"), "node")
+        "leaf", F.expr("pmod(xxhash64(node), leaves)")).join(known, "node")
 
     def pack(found: pa.Table) -> pa.Table:
         all_points = np.array([counts_of(p, GROUPS) for p in found.column("point").to_pylist()], "<u4")
         kept = all_points if all_points.max() > 255 else all_points.astype(np.uint8)
+        first = np.full((len(found), KNOWN_LISTS), np.iinfo(np.int64).max)
+        for i, names in enumerate(found.column("first").to_pylist()):
+            first[i, :len(names)] = names
         blob = lambda name: found.column(name).to_numpy().astype(np.int64).tobytes()
         return pa.table({
             "list": found.column("list")[:1], "band": found.column("band")[:1],
             "leaf": found.column("leaf")[:1], "nodes": [blob("node")], "roots": [blob("root")],
-            "points": [kept.tobytes()], "box": [all_points.max(0).tobytes()],
+            "firsts": [first.tobytes()], "points": [kept.tobytes()], "box": [all_points.max(0).tobytes()],
             "least": [int(all_points.sum(1, dtype=np.int64).min())]})
 
-    return dealt.select("list", "band", "leaf", "node", "root", "point").groupBy(
+    return dealt.select("list", "band", "leaf", "node", "root", "point", "first").groupBy(
         "list", "band", "leaf").applyInArrow(
-        pack, "list long, band long, leaf long, nodes binary, roots binary, points binary, "
-              "box binary, least long")
+        pack, "list long, band long, leaf long, nodes binary, roots binary, firsts binary, "
+              "points binary, box binary, least long")
 
 
 def _crossing(leaves: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different roots inside a list whose points may overlap enough.
 
-    Two leaves meet only if their boxes may; then each point of one is compared with the other leaf.
+    Two leaves meet only if their boxes may; then each point of one is compared with the other leaf. Similar
+    sets share many lists, but a pair is listed once: by the first list that both points are known to be in,
+    where they meet as well.
     """
     left = leaves.select("list", *[F.col(c).alias(f"l_{c}") for c in leaves.columns[1:]])
     right = leaves.select("list", *[F.col(c).alias(f"r_{c}") for c in leaves.columns[1:]])
@@ -307,18 +317,24 @@ def _crossing(leaves: DataFrame, percent: int) -> DataFrame:
             (a, b), (x, y) = ([np.frombuffer(row[f"{s}_{name}"], np.int64) for s in "lr"]
                               for name in ("nodes", "roots"))
             p, q = (leaf_points(row[f"{s}_points"], len(ids)) for s, ids in (("l", a), ("r", b)))
+            u, v = (np.frombuffer(row[f"{s}_firsts"], np.int64).reshape(-1, KNOWN_LISTS) for s in "lr")
+            same_leaf = row["l_band"] == row["r_band"] and row["l_leaf"] == row["r_leaf"]
             q_size = q.sum(1, dtype=np.int64)
             for i in range(len(p)):
                 overlap = np.minimum(p[i], q).sum(1, dtype=np.int64)
                 size = int(p[i].sum(dtype=np.int64))
                 may = np.flatnonzero((overlap >= needed(size, q_size, percent)) & (y != x[i]))
+                if same_leaf:
+                    may = may[b[may] > a[i]]
+                earlier = u[i][u[i] < row["list"]]
+                may = may[~np.isin(v[may], earlier).any(1)]
                 a_all.append(np.full(len(may), a[i]))
                 b_all.append(b[may])
         a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a_all, b_all))
         return pa.RecordBatch.from_arrays(
             [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    return map_batches(met, compare, "a long, b long").distinct()
+    return map_batches(met, compare, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:

@@ -479,3 +479,28 @@ def test_word_hashes_equal_for_equal_words_only():
             by[bytes(data[a:b]).decode().translate(plain.LOW)].add(int(h))
     assert set(by) == {w for t in texts.to_pylist() for w in plain.spaced((t or "").translate(plain.LOW))}
     assert all(len(v) == 1 for v in by.values()) and len({min(v) for v in by.values()}) == len(by)
+
+
+def test_jaccard_lists_a_pair_once(spark, monkeypatch):
+    """Points alike in many lists: the comparison of leaves makes a row for a pair, not one for each list."""
+    made, plain = [], jaccard_join.map_batches
+
+    def counted(df, run, schema):
+        out = plain(df, run, schema)
+        made.append(out.count())
+        return out
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 40, 100, dtype=np.uint64)) for _ in range(2)]
+    shared = [np.append(sets[0], np.uint64((1 << 50) + n)) for n in range(12)] + [sets[1]]
+    nodes = spark.createDataFrame(
+        [(n, bytearray(jaccard_join.point(s))) for n, s in enumerate(shared)], "node long, point binary")
+    rows = spark.createDataFrame([(lists, 0, n, n) for lists in (-5, 2, 9, 40) for n in range(13)],
+                                 "list long, band long, node long, root long")
+    monkeypatch.setattr(jaccard_join, "map_batches", counted)
+    for leaf in (512, 4):
+        monkeypatch.setattr(jaccard_join, "LEAF", leaf)
+        found = jaccard_join._crossing(jaccard_join._leaves(rows, nodes), 75).collect()
+        want = {(a, b) for a in range(12) for b in range(a + 1, 12)}
+        assert {(r.a, r.b) for r in found} == want
+        assert made.pop() == len(want)
