@@ -21,6 +21,8 @@ STEP_BYTES = 500_000
 SLICE_BYTES = 4_000_000
 #: A group of more rows is joined by broadcast. More of them than MOST_LARGE are not possible.
 LARGE_GROUP, MOST_LARGE = 10_000, 100_000
+#: Stored rows of a few numbers that are sent to all tasks; more of them are joined by shuffle.
+SENT_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +46,11 @@ def discard(*stored: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def sent(stored: DataFrame) -> DataFrame:
+    """Stored rows, marked to be broadcast if they are few."""
+    return F.broadcast(stored) if stored.count() <= SENT_ROWS else stored
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that no model may learn from: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

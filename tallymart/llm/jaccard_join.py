@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words
-from .common import cut, discard, map_batches, schema_with, spread, text_steps
-from .components import components
+from .common import cut, discard, map_batches, schema_with, sent, spread, text_steps
+from .components import contracted, least_known
 
 SIZE = 5
 PERCENT = 75
@@ -44,6 +44,9 @@ SHORT_LIST = 6
 CENTRES = 8
 #: Lists, the least by name, that a point is known to be in. They spare pairs met before, never the result.
 KNOWN_LISTS = 16
+#: Rounds in which the links known so far are contracted before the next pairs are chosen; the last of all
+#: run to the end. More of them spare pairs, never change the result.
+ROUNDS = 2
 #: Document ids up to this number are sent to the scan of the texts; more are joined by shuffle.
 SENT_IDS = 1_000_000
 
@@ -208,7 +211,7 @@ def _lists(docs: DataFrame, size: int, percent: int, common, buckets: int) -> Da
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The distinct ``pairs`` (a, b) whose points may overlap enough and whose sets do.
+    """Those of the ``pairs`` (a, b), each given once, whose points may overlap enough and whose sets do.
 
     ``nodes`` has a point and a document for each node.
     """
@@ -216,13 +219,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
     def bounded(batch):
         n, m = (batch.column(i).to_numpy() for i in (4, 5))
         may = overlap_bounds(batch.column(2).to_pylist(), batch.column(3).to_pylist()) >= needed(n, m, percent)
-        return batch.filter(pa.array(may)).select(["a", "b"])
+        return batch.filter(pa.array(may)).select(["a", "b", "a_doc", "b_doc"])
 
     may = map_batches(
-        pairs.distinct()
-        .join(nodes.select(F.col("node").alias("a"), F.col("point").alias("p"), "n"), "a")
-        .join(nodes.select(F.col("node").alias("b"), F.col("point").alias("q"), F.col("n").alias("m")), "b")
-        .select("a", "b", "p", "q", "n", "m"), bounded, "a long, b long")
+        pairs.join(nodes.select(F.col("node").alias("a"), F.col("point").alias("p"), "n",
+                                F.col("doc_id").alias("a_doc")), "a")
+        .join(nodes.select(F.col("node").alias("b"), F.col("point").alias("q"), F.col("n").alias("m"),
+                           F.col("doc_id").alias("b_doc")), "b")
+        .select("a", "b", "p", "q", "n", "m", "a_doc", "b_doc"), bounded, "a long, b long, a_doc long, b_doc long")
     may = cut(may, "pairs")
 
     def packed(batch):
@@ -235,8 +239,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
             [pa.array(list(kept), pa.int64()), pa.array(kept.values(), pa.binary())],
             ["node", "shingles"])
 
-    asked = may.select(F.col("a").alias("node")).union(may.select("b")).distinct()
-    asked = cut(nodes.join(asked, "node", "left_semi").select("node", "doc_id"), "asked")
+    asked = may.select(F.col("a").alias("node"), F.col("a_doc").alias("doc_id")).union(
+        may.select("b", "b_doc")).distinct()
+    asked = cut(asked, "asked")
     n_asked = asked.count()
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     found = texts.join(F.broadcast(asked) if n_asked <= SENT_IDS else asked, "doc_id")
@@ -306,7 +311,7 @@ def _crossing(leaves: DataFrame, percent: int) -> DataFrame:
 
     def leaf_points(blob, members):
         kind = np.uint8 if len(blob) == members * GROUPS else "<u4"
-        return np.frombuffer(blob, kind).reshape(-1, GROUPS).astype(np.int32)
+        return np.frombuffer(blob, kind).reshape(-1, GROUPS)
 
     def compare(batch):
         a_all, b_all = [], []
@@ -319,15 +324,18 @@ def _crossing(leaves: DataFrame, percent: int) -> DataFrame:
             p, q = (leaf_points(row[f"{s}_points"], len(ids)) for s, ids in (("l", a), ("r", b)))
             u, v = (np.frombuffer(row[f"{s}_firsts"], np.int64).reshape(-1, KNOWN_LISTS) for s in "lr")
             same_leaf = row["l_band"] == row["r_band"] and row["l_leaf"] == row["r_leaf"]
-            q_size = q.sum(1, dtype=np.int64)
+            p_size, q_size = (z.sum(1, dtype=np.int64) for z in (p, q))
             for i in range(len(p)):
-                overlap = np.minimum(p[i], q).sum(1, dtype=np.int64)
-                size = int(p[i].sum(dtype=np.int64))
-                may = np.flatnonzero((overlap >= needed(size, q_size, percent)) & (y != x[i]))
+                # Points are compared last, and only those of pairs that are not known or listed elsewhere.
+                least = needed(p_size[i], q_size, percent)
+                may = np.flatnonzero((y != x[i]) & (np.minimum(p_size[i], q_size) >= least))
                 if same_leaf:
                     may = may[b[may] > a[i]]
                 earlier = u[i][u[i] < row["list"]]
-                may = may[~np.isin(v[may], earlier).any(1)]
+                if len(may) and len(earlier):
+                    may = may[~np.isin(v[may], earlier).any(1)]
+                if len(may):
+                    may = may[np.minimum(p[i], q[may]).sum(1, dtype=np.int64) >= least[may]]
                 a_all.append(np.full(len(may), a[i]))
                 b_all.append(b[may])
         a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a_all, b_all))
@@ -368,21 +376,21 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     least = lists.groupBy("list").agg(F.min_by(F.struct("node", "n"), "node").alias("least"))
     near = lists.join(least.select("list", F.col("least.node").alias("a"), F.col("least.n").alias("m")), "list")
     near = near.where(f"a <> node AND {near_size}").select("a", F.col("node").alias("b")).distinct()
-    links = _verified(near, known, nodes, size, percent)
-    roots = cut(components(links), "roots")
+    near = cut(near, "near")
+    edges = contracted(_verified(near, known, nodes, size, percent), ROUNDS)
 
     def apart(of: DataFrame) -> DataFrame:
-        """Members of lists that still hold several components, with their root."""
-        rooted = of.join(roots, "node", "left").select(
+        """Members of lists in which several components are known, with the least node known of their own."""
+        roots = cut(least_known(edges), "roots")
+        rooted = of.join(sent(roots), "node", "left").select(
             "list", "node", "n", F.coalesce("root", "node").alias("root"))
         still = rooted.groupBy("list").agg(
             F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members")
         ).where("x <> y").select("list", "members")
         return cut(rooted.join(still, "list"), "apart")
 
-    def joined(more: DataFrame) -> DataFrame:
-        return cut(components(more.unionByName(
-            roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
+    def joined(more: DataFrame, rounds: int | None = None) -> DataFrame:
+        return contracted(more.unionByName(edges.select(F.col("u").alias("a"), F.col("v").alias("b"))), rounds)
 
     open_ = apart(lists)
     long = open_.where(F.col("members") > SHORT_LIST)
@@ -392,7 +400,7 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     spokes = long.join(centres, "list").where(f"root <> r AND {near_size}").select(
         F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
     spokes = cut(spokes, "spokes")
-    roots = joined(_verified(spokes, known, nodes, size, percent))
+    edges = joined(_verified(spokes, known, nodes, size, percent), ROUNDS)
     open_ = apart(open_.select("list", "node", "n"))
     short = open_.where(F.col("members") <= SHORT_LIST)
     other = short.select("list", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("r"))
@@ -403,11 +411,11 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
         "band", F.floor(F.log("n") / F.lit(step) + F.lit(1e-9)))
     crossing = crossing.unionByName(_crossing(_leaves(long, nodes), percent)).distinct()
     crossing = crossing.join(near.union(spokes), ["a", "b"], "left_anti")
-    more = _verified(crossing, known, nodes, size, percent)
-    roots = joined(more)
+    edges = joined(_verified(crossing, known, nodes, size, percent))
 
-    discard(lists, open_, nodes)
-    placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    discard(lists, near, spokes, open_, nodes)
+    roots = cut(least_known(edges), "roots")
+    placed = rows.join(sent(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.where("doc_id IS NOT NULL AND root IS NOT NULL").groupBy("root").agg(
         F.min("doc_id").alias("least"))
     return placed.join(least, "root", "left").select(

@@ -404,6 +404,23 @@ def test_components_of_a_path_and_a_star(spark):
     assert found == {**{i: 100 for i in range(100, 141)}, 7: 7, **{i: 7 for i in range(200, 300)}}
 
 
+def test_stars_are_known_without_a_round(spark, monkeypatch):
+    """Links that are stars already are read once more, not contracted again."""
+    from tallymart.llm import components as module
+
+    written, plain_cut = [], module.cut
+    monkeypatch.setattr(module, "cut", lambda df, name: (written.append(name), plain_cut(df, name))[1])
+    stars = [(3, i) for i in range(10, 20)] + [(i, 5) for i in range(30, 40)] + [(3, 10), (8, 8), (None, 3)]
+    found = dict(rows_of(components(spark.createDataFrame(stars, "a long, b long"))))
+    assert found == {3: 3, 5: 5, **{i: 3 for i in range(10, 20)}, **{i: 5 for i in range(30, 40)}}
+    assert written.count("edges") == 1
+    # A few rounds only: the edges left still join the same nodes.
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    some = module.contracted(path, 1).select(F.col("u").alias("a"), F.col("v").alias("b"))
+    assert dict(rows_of(components(some))) == {i: 0 for i in range(41)}
+    assert components(path.limit(0)).count() == 0
+
+
 # --- 10: decontamination --------------------------------------------------------------------
 
 def contamination(texts, items, window=13):
