@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 from ..sources.tables import scratch_path
 
 #: Bytes of text that a numpy step works on at once; a longer document is a step of its own.
-STEP_BYTES = 500_000
+STEP_BYTES = 250_000
 #: Bytes of an Arrow batch that a function gets at once; a longer row comes alone.
 SLICE_BYTES = 4_000_000
+#: Bytes at which Spark ends an Arrow batch: less than a slice, which the last row may still fill.
+BATCH_BYTES, BATCH_SETTING = 3_000_000, "spark.sql.execution.arrow.maxBytesPerBatch"
 #: A group of more rows is joined by broadcast. More of them than MOST_LARGE are not possible.
 LARGE_GROUP, MOST_LARGE = 10_000, 100_000
 #: Stored rows of a few numbers that are sent to all tasks; more of them are joined by shuffle.
@@ -97,9 +99,20 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Has this session end Arrow batches at BATCH_BYTES; a size that somebody has set is left.
+
+    Spark ends them at 10,000 rows. With text these are tens of MB, which an executor holds several times
+    for each task, outside its heap, and the worker once more.
+    """
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch],
                 schema: str | T.StructType) -> DataFrame:
     """``function`` on slices of the Arrow batches of ``df``."""
+    small_batches(df.sparkSession)
 
     def run(batches):
         return map(function, slices(batches))

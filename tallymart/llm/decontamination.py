@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words
-from .common import cut, discard, schema_with, slices, text_steps
+from .common import cut, discard, schema_with, slices, small_batches, text_steps
 from .fm_index import FmIndex
 
 WINDOW = 13
@@ -139,6 +139,7 @@ def _search(docs: DataFrame, phrases: Phrases, text: str, spans: bool) -> DataFr
         (("n_words", T.LongType()), ("n_hit", T.LongType()), ("spans", _SPANS)) if spans
         else (("_hit", runs),)))
     names, at = docs.columns, docs.columns.index(text)
+    small_batches(docs.sparkSession)
 
     def stretches(hit):
         change = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))

@@ -166,8 +166,10 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, step: int = STEP) -> Da
             places.append((length, low, low + repeats, first, slot))
             next_rank[length] += repeats
         first += repeats
-    table = spark.createDataFrame(
-        places, "_size int, _low long, _high long, _first long, _slot int")
+    # Rows from a list would come through Python workers, which stay beside those of the other steps.
+    kinds = {"_size": pa.int32(), "_low": pa.int64(), "_high": pa.int64(), "_first": pa.int64(), "_slot": pa.int32()}
+    table = spark.createDataFrame(pa.table(
+        {name: pa.array([place[i] for place in places], kind) for i, (name, kind) in enumerate(kinds.items())}))
     ranked = _ranked(sized, "_size", ["doc_id", "start", "ids_crc32"])
     placed = ranked.join(F.broadcast(table), "_size").where(  # as many rows as the plan has places
         "rank >= _low AND rank < _high").withColumn(
