@@ -95,7 +95,8 @@ def _ingested_by_key(spark, sf) -> Tables:
     inbox = f"{tables.root}/inbox"
     messages, repeat = fx.fx_all_messages(spark, sf), F.col("partition") == fx.REPEATS
     for some in (~repeat, repeat):
-        messages.where(some).repartition(4).write.mode("append").parquet(inbox)
+        with keyed_stream.shuffles_freed(spark):
+            messages.where(some).repartition(4).write.mode("append").option("compression", "zstd").parquet(inbox)
         keyed_stream.ingest_keyed_available(spark, files.file_messages(spark, inbox), tables,
                                             f"{tables.root}/checkpoint")
     keyed_stream.start_keyed_store(spark, tables, f"{tables.root}/checkpoint-2", once=True).awaitTermination()

@@ -1,5 +1,7 @@
 """Folders of days, swaps of files, compaction, refreshed days, and ingest by stored keys."""
 
+import shutil
+import time
 from datetime import date
 
 import pytest
@@ -311,6 +313,57 @@ def test_keyed_batch_is_joined_once_and_written_by_size(spark, tmp_path, monkeyp
     assert len(data_files(spark, f"{tables.outbox}/sent_date=2022-10-01")) == 1
 
 
+def shuffle_files(spark):
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {local.apply(i).getName() for i in range(local.size()) if local.apply(i).getName().startswith("shuffle_")}
+
+
+def test_keyed_ingest_leaves_no_shuffle_files(spark, tmp_path):
+    """With a second store that checks all keys against the outbox."""
+    tables, inbox = Tables(str(tmp_path / "t")), str(tmp_path / "inbox")
+    drop_in(spark, inbox, [(message(n, "x"), 0, n) for n in range(200)] + [("not json", 0, 200)])
+    before = shuffle_files(spark)
+    keyed.ingest_keyed_available(spark, file_messages(spark, inbox), tables, str(tmp_path / "c"))
+    keyed.start_keyed_store(spark, tables, str(tmp_path / "c2"), once=True).awaitTermination()
+    for _ in range(50):  # they are deleted in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert left == set()
+    assert len(stored(spark, tables)[0]) == 200
+
+
+def test_new_rows_are_told_by_bits(spark, tmp_path):
+    """Rows at both ends of bytes and bitmaps, in two files; nothing is shuffled to find them again."""
+    n, folder = keyed.BITS + 20, str(tmp_path / "landing")
+    (spark.range(2 * n, numPartitions=2).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in keyed.LANDED.fields[:-1] if f.name != "offset"],
+        F.col("id").alias("offset"), F.lit(5).alias("landed"))
+     .write.partitionBy("landed").parquet(folder))
+    landed = spark.read.schema(keyed.LANDED).parquet(folder)
+    wanted = {k + at for k in (0, n) for at in (0, 7, 8, 9, 32766, 32767, 32768, 32769, n - 1)}
+    places = keyed._with_place(landed.where(F.col("offset").isin(*wanted))).select("landed", *keyed.PLACE)
+    rows = keyed.marked_rows(landed, keyed.marks_of(places))
+    assert sorted(row.offset for row in rows.collect()) == sorted(wanted)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_landed_twice_is_stored_once_in_several_lots(spark, tmp_path, monkeypatch):
+    """The files a task has left that was run again; each file is a lot of its own."""
+    tables, inbox, lots = Tables(str(tmp_path / "t")), str(tmp_path / "inbox"), []
+    drop_in(spark, inbox, FIRST)
+    keyed.start_landing(file_messages(spark, inbox), tables, str(tmp_path / "c/landing"), once=True).awaitTermination()
+    for file in (tmp_path / "t/landing").glob("landed=*/part-*"):
+        shutil.copy(file, file.with_name(f"part-9{file.name}"))
+    plain = keyed.read_folders
+    monkeypatch.setattr(keyed, "BYTES_PER_CORE", 1)
+    monkeypatch.setattr(keyed, "read_folders", lambda s, p, c, f: lots.append(f) or plain(s, p, c, f))
+    keyed.start_keyed_store(spark, tables, str(tmp_path / "c/store"), once=True).awaitTermination()
+    assert stored(spark, tables) == ({(1, "first"), (2, "first")}, {(0, 3, "bad_json"), (1, 3, "bad_json")})
+    assert len(lots) > 2 and all(len(lot) == 1 for lot in lots)
+
+
 def test_lost_checkpoint_goes_by_the_outbox_until_state_knows_all(spark, tmp_path, monkeypatch):
     tables, inbox = Tables(str(tmp_path / "t")), str(tmp_path / "inbox")
     drop_in(spark, inbox, FIRST)
